@@ -121,16 +121,17 @@ def fuzzy_candidates(
 def best_links(candidates: DataFrame, weights: Weights | None = None, *, v2: bool = False) -> DataFrame:
     """Per key the best candidate at or above the threshold; ties go to the earlier library row.
 
-    `row_number() = 1` lets Spark drop all but the local best of a key before the shuffle.
+    `row_number() = 1` lets Spark drop all but the local best of a key before the shuffle.  The
+    threshold is tested on the winner: tested earlier, the whole score formula would be pushed
+    down and evaluated twice.
     """
     weights = weights or Weights()
     floor = -1.0 if v2 else 0.0
     best_first = Window.partitionBy(*KEY).orderBy(F.col("score").desc(), "rank", "hit.pos")
     album_counts = (F.col("ratio_album") > 0) | (F.col("ngram_album") > 0)
     return (
-        candidates.filter((F.col("score") > floor) & (F.col("score") >= weights.min_score))
-        .withColumn("_place", F.row_number().over(best_first))
-        .filter("_place = 1")
+        candidates.withColumn("_place", F.row_number().over(best_first))
+        .filter((F.col("_place") == 1) & (F.col("score") > floor) & (F.col("score") >= weights.min_score))
         .select(
             *KEY, "hit", *SIGNALS,
             F.when(album_counts & (F.col("album_key") != ""), "fuzzy_album").otherwise("fuzzy").alias("match_type"),
