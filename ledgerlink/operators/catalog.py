@@ -13,7 +13,7 @@ CLEAN = ("clean_track", "clean_artist", "clean_album")
 
 def with_cleaned(frame: DataFrame, trim_tail: bool = False) -> DataFrame:
     """Add the cleaned form of track, artist and album."""
-    cleaned = [clean_text(F.col(c), trim_tail).alias(f"clean_{c}") for c in ("track", "artist", "album")]
+    cleaned = [clean_text(c, trim_tail).alias(f"clean_{c}") for c in ("track", "artist", "album")]
     return frame.select("*", *cleaned)
 
 

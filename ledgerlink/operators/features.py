@@ -41,13 +41,13 @@ def _slots(word: int | None = None) -> str:
 
 
 def _bag_word(text: str, word: int) -> str:
-    filled = f"least(length({text}) - length(replace({text}, s.c, '')), s.width)"
-    return f"aggregate({_slots(word)}, 0L, (b, s) -> b | shiftleft(shiftleft(1L, {filled}) - 1L, s.bit))"
+    filled = f"least(length({text}) - length(replace({text}, slot_.c, '')), slot_.width)"
+    return f"aggregate({_slots(word)}, 0L, (bits_, slot_) -> bits_ | shiftleft(shiftleft(1L, {filled}) - 1L, slot_.bit))"
 
 
 def _bag_overflow(text: str) -> str:
-    beyond = f"greatest(length({text}) - length(replace({text}, s.c, '')) - s.width, 0)"
-    return f"aggregate({_slots()}, 0, (n, s) -> n + {beyond})"
+    beyond = f"greatest(length({text}) - length(replace({text}, slot_.c, '')) - slot_.width, 0)"
+    return f"aggregate({_slots()}, 0, (over_, slot_) -> over_ + {beyond})"
 
 
 def _words(text: str) -> str:
@@ -59,7 +59,7 @@ def features(text: str, bound: bool = True) -> Column:
     words = _words(text)
     fields = {"text": text, "words": words, "count": f"size({words})"}
     if bound:
-        mask = f"aggregate({words}, 0L, (m, w) -> m | shiftleft(1L, pmod(hash(w), 64)))"
+        mask = f"aggregate({words}, 0L, (mask_, word_) -> mask_ | shiftleft(1L, pmod(hash(word_), 64)))"
         fields |= {
             "size": f"length({text})",
             "words_size": f"length(array_join({words}, ' '))",

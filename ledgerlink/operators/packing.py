@@ -10,7 +10,6 @@ are chained per report, and each partition then cuts its own lines.
 from __future__ import annotations
 
 import sys
-import tempfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlink.sources.store import checkpointed
+
 # The grouped functions below travel with the query; executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,15 +28,6 @@ MESSAGE_LIMIT = 3500  # fixed value: characters per message
 _LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """Checkpoint into the cluster's shared folder; a temporary one only where none is set."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return frame.checkpoint()
-
-
 class _Run:
     """Consecutive lines of one report, by their lengths (line end included)."""
 
@@ -155,7 +147,7 @@ def pack_lines(lines: DataFrame, by: str, order: Sequence[str], limit: int | Non
         return whole.select(F.col("report").alias(by), F.lit(0).cast("bigint").alias("message_no"), "message")
 
     # Sampling makes range bounds differ between runs, so the placement is stored before use.
-    placed = durable(
+    placed = checkpointed(
         pieces.repartitionByRange("report", *keys)
         .sortWithinPartitions("report", *keys)
         .select(

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerlink.functions.numbers import round_half_even
 from ledgerlink.operators.blocks import SLICE_ROWS, artist_directory, artist_pairs, title_pairs
-from ledgerlink.operators.catalog import curation_rows, library_rows
+from ledgerlink.operators.catalog import CLEAN, curation_rows, library_rows
 from ledgerlink.operators.features import features
 from ledgerlink.operators.headers import with_missing
 from ledgerlink.operators.scoring import SIGNALS, Weights, with_text_signals
 from ledgerlink.sources.readers import scan_csv
+from ledgerlink.sources.store import stored
 from ledgerlink.sources.writers import MATCHED_COLUMNS, NOT_FOUND_COLUMNS
 
 KEY = ("clean_track", "clean_artist", "album_key")
@@ -31,22 +32,26 @@ def _album_key(has_album: Column | None = None) -> Column:
     return marked if has_album is None else F.when(has_album, marked).otherwise("")
 
 
-def _library_hit() -> Column:
-    return F.struct("pos", "mediaid", "track", "artist", "album", "clean_album")
+def library_index(library: DataFrame) -> DataFrame:
+    """Per cleaned track, artist and album: row count, first and last row in file order.
 
+    Everything the cascade looks up is derived from this.  The rows are carried through min and
+    max aggregates, so each task reduces its copies of a key to one before the shuffle.
+    """
+    row = F.struct("pos", "mediaid", "track", "artist", "album", "clean_album")
+    return library.groupBy(*CLEAN).agg(
+        F.count("*").alias("n_rows"), F.min(row).alias("first"), F.max(row).alias("last")
+    )
 
-def keep_last(library: DataFrame, *key: str) -> DataFrame:
-    """Per key the library row that comes last in file order, as struct `hit`.
 
-    The row is carried through a max aggregate, so each task reduces its copies of a key to one
-    before the shuffle.
-    """
-    return library.groupBy(*key).agg(F.max(_library_hit()).alias("hit"))
+def keep_last(index: DataFrame, *key: str) -> DataFrame:
+    """Per key the library row that comes last, as struct `hit`."""
+    return index.groupBy(*key).agg(F.max("last").alias("hit"))
 
 
-def keep_first(library: DataFrame, *key: str) -> DataFrame:
-    """Per key the library row that comes first in file order, as struct `hit`."""
-    return library.groupBy(*key).agg(F.min(_library_hit()).alias("hit"))
+def keep_first(index: DataFrame, *key: str) -> DataFrame:
+    """Per key the library row that comes first, as struct `hit`."""
+    return index.groupBy(*key).agg(F.min("first").alias("hit"))
 
 
 def distinct_keys(curation: DataFrame) -> DataFrame:
@@ -54,26 +59,29 @@ def distinct_keys(curation: DataFrame) -> DataFrame:
     return curation.select(*PAIR_KEY, _album_key(F.col("has_album")).alias("album_key")).distinct()
 
 
-def exact_links(keys: DataFrame, library: DataFrame, *, v2: bool = False) -> DataFrame:
-    """Exact hits of distinct keys, by album first, with their signals."""
-    by_album = keep_last(library.withColumn("album_key", _album_key()), *KEY)
-    # The last row of a track and artist is the last among the last rows of its albums.
-    by_pair = by_album.groupBy(*PAIR_KEY).agg(F.max("hit").alias("pair_hit"))
-    hits = (
+def exact_lookup(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """Keys with their exact hit, by album first; `hit` and `match_type` are NULL without one."""
+    by_album = index.select(*PAIR_KEY, _album_key().alias("album_key"), F.col("last").alias("album_hit"))
+    by_pair = keep_last(index, *PAIR_KEY)
+    match_type = F.when(F.col("album_hit").isNotNull(), "exact_album").when(F.col("hit").isNotNull(), "exact")
+    return (
         keys.join(by_album, list(KEY), "left")
-        .join(by_pair, list(PAIR_KEY))
-        .select(
-            *KEY,
-            F.coalesce("hit", "pair_hit").alias("hit"),
-            F.when(F.col("hit").isNotNull(), "exact_album").otherwise("exact").alias("match_type"),
-        )
+        .join(by_pair, list(PAIR_KEY), "left")
+        .select(*KEY, F.coalesce("album_hit", "hit").alias("hit"), match_type.alias("match_type"))
     )
-    albums = hits.select(
+
+
+def exact_links(looked_up: DataFrame, *, v2: bool = False) -> DataFrame:
+    """The exact hits with their signals.
+
+    Titles and artists are equal, so only albums are compared: `exact` leaves them open.
+    """
+    albums = looked_up.filter("match_type is not null").select(
         "*",
-        features("substr(album_key, 2)", bound=False).alias("_own"),
-        features("hit.clean_album", bound=False).alias("_other"),
+        features("substr(album_key, 2)", bound=False).alias("own"),
+        features("hit.clean_album", bound=False).alias("other"),
     )
-    scored = with_text_signals(albums, {"album": ("_own", "_other")})
+    scored = with_text_signals(albums, {"album": ("own", "other")})
 
     def equal_texts(column: str, empty: float) -> Column:
         return F.when(F.col(column) == "", empty).otherwise(1.0)
@@ -91,28 +99,23 @@ def exact_links(keys: DataFrame, library: DataFrame, *, v2: bool = False) -> Dat
     )
 
 
-def unlinked_keys(keys: DataFrame, library: DataFrame) -> DataFrame:
-    """Keys without an exact hit. A hit by album implies one by track and artist."""
-    return keys.join(library.select(*PAIR_KEY).distinct(), list(PAIR_KEY), "left_anti")
+def open_keys(looked_up: DataFrame) -> DataFrame:
+    """Keys without an exact hit."""
+    return looked_up.filter("match_type is null").select(*KEY)
 
 
 def fuzzy_candidates(
-    keys: DataFrame,
-    library: DataFrame,
-    weights: Weights | None = None,
-    *,
-    v2: bool = False,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+    keys: DataFrame, index: DataFrame, artists: DataFrame, weights: Weights | None = None, *,
+    v2: bool = False, slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """Candidate pairs with exact signals and `score`; pairs below the threshold may be absent.
 
     Library rows are reduced to the first one per track and artist, so later albums of a track
     do not compete. Under the v2 rules they do.
     """
     weights = weights or Weights()
-    artists = artist_directory(keys, library, v2=v2, slice_rows=slice_rows)
     blocks = artist_pairs(artists, weights, v2=v2, slice_rows=slice_rows)
-    offered = keep_first(library, *PAIR_KEY, "clean_album") if v2 else keep_first(library, *PAIR_KEY)
+    offered = index.select(*PAIR_KEY, F.col("first").alias("hit")) if v2 else keep_first(index, *PAIR_KEY)
     pairs = title_pairs(keys, offered, artists, blocks, weights)
     scored = with_text_signals(pairs, {"title": ("key_title", "lib_title"), "album": ("key_album", "lib_album")})
     return scored.select(*KEY, "rank", "hit", *SIGNALS, F.expr(weights.score()).alias("score"))
@@ -140,25 +143,23 @@ def best_links(candidates: DataFrame, weights: Weights | None = None, *, v2: boo
 
 
 def link(
-    curation: DataFrame,
-    library: DataFrame,
-    weights: Weights | None = None,
-    *,
-    v2: bool = False,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+    curation: DataFrame, library: DataFrame, weights: Weights | None = None, *,
+    v2: bool = False, slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """All curation rows with their library row, rounded signals and match type (NULL: not found).
 
+    Three intermediate tables that several steps read are stored when this is called: the library
+    index, the keys after the exact lookup, and the artist directory.  The rest is lazy.
+
     The join back to the rows has one right row per key, so a key on very many rows is a skew that
     adaptive execution splits.
     """
-    keys = distinct_keys(curation)
-    fuzzy = best_links(
-        fuzzy_candidates(unlinked_keys(keys, library), library, weights, v2=v2, slice_rows=slice_rows),
-        weights,
-        v2=v2,
-    )
-    links = exact_links(keys, library, v2=v2).unionByName(fuzzy).select(
+    index = stored(library_index(library), "library-index")
+    looked_up = stored(exact_lookup(distinct_keys(curation), index), "exact-lookup")
+    remaining = open_keys(looked_up)
+    artists = stored(artist_directory(remaining, index, v2=v2, slice_rows=slice_rows), "artists")
+    candidates = fuzzy_candidates(remaining, index, artists, weights, v2=v2, slice_rows=slice_rows)
+    links = exact_links(looked_up, v2=v2).unionByName(best_links(candidates, weights, v2=v2)).select(
         *KEY,
         F.col("hit.mediaid").alias("mediaid"),
         F.col("hit.track").alias("matched_track"),

@@ -17,6 +17,7 @@ from ledgerlink.operators.headers import Sheet
 from ledgerlink.operators.scoring import SIGNALS, Weights, with_text_signals
 from ledgerlink.plans import ids, linking, search, snapshots
 from ledgerlink.sources.readers import missing_to_null
+from ledgerlink.sources.store import stored
 
 # --- views: the same SQL text runs on Spark and on the checking database ---------------------------
 
@@ -124,12 +125,12 @@ def cleaned_curation(spark, sf_dir, trim=False):
 
 def folded_documents(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return documents.select("doc_id", fold_ascii(F.col("text")).alias("folded"))
+    return documents.select("doc_id", fold_ascii("text").alias("folded"))
 
 
 def cleaned_documents(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    cleaned = documents.select("doc_id", clean_text(F.col("text")).alias("clean"))
+    cleaned = documents.select("doc_id", clean_text("text").alias("clean"))
     return cleaned.select(
         "doc_id", "clean",
         first_token(F.col("clean")).alias("first_token"),
@@ -176,43 +177,48 @@ def indel_ratios(spark, sf_dir):
 # --- linking ----------------------------------------------------------------------------------------
 
 
-def _hit_columns(frame: DataFrame, *keys: str) -> DataFrame:
-    return frame.select(*keys, F.col("hit.pos").alias("pos"), F.col("hit.track").alias("track"))
+def _hit_columns(frame: DataFrame) -> DataFrame:
+    return frame.select(*linking.PAIR_KEY, F.col("hit.pos").alias("pos"), F.col("hit.track").alias("track"))
 
 
 def library_last(spark, sf_dir):
-    return _hit_columns(linking.keep_last(_library(spark, sf_dir), *linking.PAIR_KEY), *linking.PAIR_KEY)
+    return _hit_columns(linking.keep_last(linking.library_index(_library(spark, sf_dir)), *linking.PAIR_KEY))
 
 
 def library_first(spark, sf_dir):
-    return _hit_columns(linking.keep_first(_library(spark, sf_dir), *linking.PAIR_KEY), *linking.PAIR_KEY)
+    return _hit_columns(linking.keep_first(linking.library_index(_library(spark, sf_dir)), *linking.PAIR_KEY))
 
 
-def exact_links(spark, sf_dir, v2=False):
-    keys = linking.distinct_keys(_curation(spark, sf_dir))
-    links = linking.exact_links(keys, _library(spark, sf_dir), v2=v2)
+def _lookup(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    index = stored(linking.library_index(_library(spark, sf_dir)), "library-index")
+    return index, linking.exact_lookup(linking.distinct_keys(_curation(spark, sf_dir)), index)
+
+
+def _link_columns(links: DataFrame) -> DataFrame:
     return links.select(
         *linking.KEY, F.col("hit.pos").alias("pos"), *(F.round(s, 6).alias(s) for s in SIGNALS), "match_type"
     )
 
 
+def exact_links(spark, sf_dir, v2=False):
+    _, looked_up = _lookup(spark, sf_dir)
+    return _link_columns(linking.exact_links(looked_up, v2=v2))
+
+
 def artist_blocks(spark, sf_dir, v2=False):
-    library = _library(spark, sf_dir)
-    keys = linking.unlinked_keys(linking.distinct_keys(_curation(spark, sf_dir)), library)
-    blocks = artist_pairs(artist_directory(keys, library, v2=v2), Weights(), v2=v2)
-    return blocks.select(
+    index, looked_up = _lookup(spark, sf_dir)
+    artists = stored(artist_directory(linking.open_keys(looked_up), index, v2=v2), "artists")
+    return artist_pairs(artists, Weights(), v2=v2).select(
         "clean_artist", "lib_artist", F.col("rank").cast("bigint").alias("rank"),
         F.round("ratio_artist", 6).alias("ratio_artist"), F.round("ngram_artist", 6).alias("ngram_artist"),
     )
 
 
 def fuzzy_best(spark, sf_dir):
-    library = _library(spark, sf_dir)
-    keys = linking.unlinked_keys(linking.distinct_keys(_curation(spark, sf_dir)), library)
-    best = linking.best_links(linking.fuzzy_candidates(keys, library))
-    return best.select(
-        *linking.KEY, F.col("hit.pos").alias("pos"), *(F.round(s, 6).alias(s) for s in SIGNALS), "match_type"
-    )
+    index, looked_up = _lookup(spark, sf_dir)
+    keys = stored(linking.open_keys(looked_up), "open-keys")
+    artists = stored(artist_directory(keys, index), "artists")
+    return _link_columns(linking.best_links(linking.fuzzy_candidates(keys, index, artists)))
 
 
 def match_cascade(spark, sf_dir, trim=False, v2=False, album=True):
