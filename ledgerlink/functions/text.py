@@ -53,8 +53,19 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 def _fold_literals() -> tuple[str, str, str, str]:
     source, target, expanding = _fold_tables()
     pairs = "".join(f"{_PAIR}{char}{_KV}{text}" for char, text in expanding.items()) + _PAIR
-    char_class = "[" + "".join(expanding) + "]"
-    return source, target, pairs, char_class
+    return source, target, pairs, _covering_class(expanding)
+
+
+def _covering_class(chars: dict[str, str]) -> str:
+    """A few character ranges that hold all of `chars`, and some others.
+
+    An exact class of hundreds of single characters is tested one by one for every character of
+    a text; this one only has to tell the rows (and characters) that need a closer look.
+    """
+    codes = sorted(map(ord, chars))
+    starts = [c for i, c in enumerate(codes) if i == 0 or c - codes[i - 1] > 64]
+    ends = [c for i, c in enumerate(codes) if i == len(codes) - 1 or codes[i + 1] - c > 64]
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]"
 
 
 def _literal(text: str) -> str:
@@ -70,8 +81,9 @@ def _folded(text: str) -> str:
     source, target, pairs, expanding_class = (_literal(part) for part in _fold_literals())
     non_ascii = _literal(_NON_ASCII)
     # The table stays one string: a map literal of this size would travel with every task.
-    entry = f"substring_index({pairs}, concat({_literal(_PAIR)}, char_, {_literal(_KV)}), -1)"
-    expand = f"char_ -> CASE WHEN char_ RLIKE {expanding_class} THEN split_part({entry}, {_literal(_PAIR)}, 1) ELSE char_ END"
+    key = f"concat({_literal(_PAIR)}, char_, {_literal(_KV)})"
+    entry = f"split_part(substring_index({pairs}, {key}, -1), {_literal(_PAIR)}, 1)"
+    expand = f"char_ -> CASE WHEN char_ RLIKE {expanding_class} AND instr({pairs}, {key}) > 0 THEN {entry} ELSE char_ END"
     opened = (
         f"CASE WHEN {text} RLIKE {expanding_class}"
         f" THEN array_join(transform(split({text}, ''), {expand}), '') ELSE {text} END"

@@ -67,24 +67,29 @@ def snapshot_rows_v2(sheet: Sheet) -> DataFrame:
     """v2 rules: thousands commas allowed, blank stations dropped, hours or else seconds per row,
     each row's hours rounded to 2 decimals before they are summed."""
     cells = _cells(sheet)
-    hours = F.lit(0.0)
-    if cells["seconds"] is not None:
-        whole = to_count(parse_number_v2(cells["seconds"])).cast("double")
-        hours = F.when(cells["seconds"] != "", round_half_even(whole / 3600.0, 2)).otherwise(hours)
-    if cells["hours"] is not None:
-        own = round_half_even(parse_number_v2(cells["hours"]), 2)
-        hours = F.when(cells["hours"] != "", own).otherwise(hours)
+
+    def parsed(cell: Column | None) -> Column:
+        """NULL for an empty cell."""
+        return F.lit(None).cast("double") if cell is None else F.when(cell != "", parse_number_v2(cell))
+
+    # Parsing and rounding are separate steps: rounding names its input many times.
     rows = sheet.frame.select(
         strip_spaces(cells["station"]).alias("station"),
         to_count(parse_number_v2(cells["songs"])).alias("songs"),
-        hours.alias("hours"),
+        parsed(cells["hours"]).alias("hours"),
+        parsed(cells["seconds"]).alias("seconds"),
     ).filter("station != ''")
+    rows = rows.select(
+        "station", "songs",
+        F.coalesce("hours", to_count(F.col("seconds")).cast("double") / 3600.0).alias("hours"),
+    )
+    rows = rows.select("station", "songs", round_half_even(F.col("hours"), 2).alias("hours"))
     # A double of two decimals is a decimal again; only huge, infinite or NaN hours stay rough.
-    fits = F.abs("hours") < 1e15
-    exact = F.when(fits & ~F.isnan("hours"), F.col("hours").try_cast("decimal(28,9)"))
+    fits = (F.abs("hours") < 1e15) & ~F.isnan("hours")
+    rows = rows.withColumn("exact", F.when(fits, F.col("hours").try_cast("decimal(28,9)")))
     return rows.select(
-        "station", "songs", exact.alias("exact"),
-        F.when(exact.isNull(), F.col("hours")).otherwise(0.0).alias("rough"),
+        "station", "songs", "exact",
+        F.when(F.col("exact").isNull(), F.col("hours")).otherwise(0.0).alias("rough"),
         F.lit(1.0).alias("unit"),
     )
 
