@@ -68,7 +68,7 @@ def text_bounds(field: str, a: str, b: str) -> dict[str, str]:
     """Limits of a field's two signals from its feature columns; an absent album counts nothing."""
     ratio, overlap = ratio_bound(a, b), overlap_bound(a, b)
     if field == "album":
-        ratio = f"CASE WHEN {a}.size = 0 OR {b}.size = 0 THEN 0D ELSE {ratio} END"
+        ratio = f"IF({a}.words_size = 0 OR {b}.words_size = 0, 0D, {ratio})"
     return {f"ratio_{field}": ratio, f"ngram_{field}": overlap}
 
 

@@ -59,4 +59,4 @@ def test_signals_and_bounds_on_random_pairs(spark):
     for row in scored(spark, pairs):
         assert (row.ratio_title, row.ngram_title) == plain.signals(row.a, row.b)
         assert row.ratio_limit >= row.ratio_title - 1e-12
-        assert row.overlap_limit >= row.ngram_title
+        assert row.overlap_limit >= row.ngram_title - 1e-12
