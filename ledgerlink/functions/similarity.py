@@ -36,14 +36,15 @@ def token_parts(left_words: str, right_words: str) -> dict[str, str]:
 def token_set_ratio(left: str, right: str, parts: dict[str, str], rest_lcs: str) -> str:
     """Best of: the two remainders against each other, and the shared words against either side.
 
-    `parts` names the columns that hold `token_parts`.
+    `parts` names the columns that hold `token_parts` and the lengths of both remainders.  Without
+    shared words the second kind comes out as 0, so it needs no case of its own.
     """
 
     def percent(edits: str, total: str) -> str:
         return f"(100D - 100D * CAST({edits} AS DOUBLE) / ({total}))"
 
     shared, size = parts["shared"], parts["shared_size"]
-    left_rest, right_rest = f"length({parts['left_rest']})", f"length({parts['right_rest']})"
+    left_rest, right_rest = parts["left_rest_size"], parts["right_rest_size"]
     gap = f"least({shared}, 1)"
     left_all, right_all = (f"({size} + {gap} + {rest})" for rest in (left_rest, right_rest))
     rests = percent(f"{left_rest} + {right_rest} - 2 * {rest_lcs}", f"{left_all} + {right_all}")
@@ -53,8 +54,7 @@ def token_set_ratio(left: str, right: str, parts: dict[str, str], rest_lcs: str)
     )
     return (
         f"CASE WHEN {left} = '' OR {right} = '' THEN 0D"
-        f" WHEN {shared} > 0 AND ({left_rest} = 0 OR {right_rest} = 0) THEN 100D"
-        f" WHEN {shared} > 0 THEN {best} ELSE {rests} END / 100D"
+        f" WHEN {shared} > 0 AND ({left_rest} = 0 OR {right_rest} = 0) THEN 100D ELSE {best} END / 100D"
     )
 
 

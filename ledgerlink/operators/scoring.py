@@ -40,13 +40,13 @@ class Weights:
         """Weighted sum of the signal columns; not normalised, up to 1.2 with albums by default.
 
         The terms are added in this order, because ties and the threshold depend on the last bit.
+        Without albums the last term adds exactly 0.
         """
-        base = (
+        return (
             f"{self.title!r}D * ratio_title + {self.artist!r}D * ratio_artist"
             f" + {self.each_ngram!r}D * ngram_title + {self.each_ngram!r}D * ngram_artist"
+            f" + {self.album!r}D * ((ratio_album + ngram_album) / 2D)"
         )
-        album = f"{self.album!r}D * ((ratio_album + ngram_album) / 2D)"
-        return f"CASE WHEN ratio_album > 0 OR ngram_album > 0 THEN {base} + {album} ELSE {base} END"
 
     def reachable(self, bounds: Mapping[str, str]) -> Column:
         """Whether the threshold can be reached with these upper limits; never false for a match.
@@ -92,11 +92,12 @@ def with_text_signals(pairs: DataFrame, fields: Mapping[str, tuple[str, str]]) -
         rest = F.expr(f"CASE WHEN {both} AND {right_rest} != '' THEN {left_rest} END")
         kernel.append(lcs_length(text, F.col(f"{b}.text")).alias(f"_{name}_lcs"))
         kernel.append(lcs_length(rest, F.col(right_rest)).alias(f"_{name}_rest_lcs"))
+        kernel += [F.expr(f"length({rest})").alias(f"{rest}_size") for rest in (left_rest, right_rest)]
     pairs = pairs.select("*", *kernel)
 
     signals = []
     for name, (a, b) in fields.items():
-        named = {part: f"_{name}_{part}" for part in parts[name]}
+        named = {part: f"_{name}_{part}" for part in (*parts[name], "left_rest_size", "right_rest_size")}
         ratio = blend(
             indel_ratio(f"{a}.text", f"{b}.text", f"_{name}_lcs"),
             token_set_ratio(f"{a}.text", f"{b}.text", named, f"_{name}_rest_lcs"),
