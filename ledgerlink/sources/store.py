@@ -8,15 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where there is none."""
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which the driver and all executors share.
+
+    Where none is set, a temporary folder serves a local master; on a cluster that is an error, as
+    each executor would write to a disk of its own.
+    """
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if folder is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-        folder = context.getCheckpointDir() or folder
-    return folder
+    return context.getCheckpointDir() or folder
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -25,12 +31,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     Known sizes also let Spark decide by itself, and by the facts, which join sides to broadcast.
     """
     spark = frame.sparkSession
-    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
     """`frame` with its partitions and their row order fixed."""
-    _folder(frame.sparkSession)
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
