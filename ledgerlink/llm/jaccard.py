@@ -11,13 +11,14 @@ them also gets the signatures of another partition, and after `PARTITIONS` of th
 so; thus no pair is lost.
 
 Signatures are dealt out in packed blocks.  Tasks unite equal ones before that, so a common signature
-has one row a block of documents.  Sets that share a signature are compared: all pairs where few share
+has one entry a block of documents.  Sets that share a signature are compared: all pairs where few share
 it, else each with a chosen one; where such a group still falls into several components afterwards, all
-pairs between its components.  Compared are the shingles of whole texts.
+pairs between its components, in cells of bounded size.  A sketch of counts by hash gives a lower limit
+of the difference and rules out most pairs; the rest are compared by the shingles of whole texts.
 
 Words: A-Z lower-cased, split at white space.  A document of fewer words than a shingle has one shingle
-of all; a null or empty one has none, and is linked with nothing.  Every row gives one row.  Rows with a
-null id can be linked but name a component only if all its ids are null.
+of all; a null or empty one has none, and is linked with nothing.  Every row gives one row.  A row
+without id joins others only by a set equal to that of a row with one, and never names a component.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import functools
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,15 @@ SHINGLE, SHARE = 5, 80
 PARTITIONS = 3
 #: So many sets with one signature are compared in all pairs; more, at first with a chosen one.
 SMALL_GROUP = 8
+#: Rows of either side of a cell of a large group.
+CELL_ROWS = 2048
 #: Bytes of text whose signatures are united and packed together.
 BLOCK_BYTES = 6 << 20
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_SIGN_BITS = 47
+_SIGN = np.uint64((1 << _SIGN_BITS) - 1)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -69,7 +75,7 @@ def shingle_sets(texts: list[str | None], length: int = SHINGLE) -> list[np.ndar
     """Sorted distinct hashes of each text's shingles."""
     split = [(t or "").encode().translate(_LOWER).split() for t in texts]
     sizes = np.array([len(s) for s in split], np.int64)
-    flat = np.fromiter(map(_hashes().__getitem__, (w for s in split for w in s)), np.uint64, int(sizes.sum()))
+    flat = np.fromiter(map(_hashes().__getitem__, chain.from_iterable(split)), np.uint64, int(sizes.sum()))
     value = np.zeros(max(0, len(flat) - length + 1), np.uint64)
     for k in range(length):
         value = value * _MULTIPLIER + flat[k : k + len(value)]
@@ -79,10 +85,10 @@ def shingle_sets(texts: list[str | None], length: int = SHINGLE) -> list[np.ndar
         if size >= length:
             sets.append(np.unique(value[at : at + size - length + 1]))
         elif size:
-            whole = np.uint64(size)
-            for word in flat[at : at + size]:
-                whole = whole * _MULTIPLIER + word
-            sets.append(mix(np.array([whole], np.uint64)))
+            whole = np.array([size], np.uint64)
+            for k in range(at, at + size):
+                whole = whole * _MULTIPLIER + flat[k]
+            sets.append(mix(whole))
         else:
             sets.append(np.zeros(0, np.uint64))
         at += size
@@ -94,6 +100,23 @@ def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Counts of a set's elements in 128 classes by hash, up to 255 each."""
+    classes = (mix(shingles) >> np.uint64(57)).astype(np.int64)
+    return np.minimum(np.bincount(classes, minlength=128), 255).astype(np.uint8).tobytes()
+
+
+def may_link(size: np.ndarray, other: np.ndarray, classes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """False where sizes or sketches show that a pair cannot be near enough.
+
+    Sets of a and b elements with Jaccard of SHARE percent differ in (100 - SHARE) / (100 + SHARE) of a + b
+    at most, and the differences of their classes' counts add up to no more than that.
+    """
+    apart = np.abs(classes.astype(np.int16) - others).sum(axis=-1, dtype=np.int64)
+    ratio = 100 * np.minimum(size, other) >= SHARE * np.maximum(size, other)
+    return ratio & ((100 + SHARE) * apart <= (100 - SHARE) * (size + other))
+
+
 class Band:
     """Signatures of sets whose size is at most `last`, for pairs whose larger size is in the band."""
 
@@ -130,7 +153,7 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
     made = []
     for band in bands_of(len(shingles)):
         for partition in range(PARTITIONS):
-            salt = np.uint64((band.number << 8) + partition + 1)
+            salt = np.array([(band.number << 8) + partition + 1], np.uint64)
             dealt = mix(shingles + salt * _MULTIPLIER)
             count = band.groups * band.cells
             cell = ((dealt >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
@@ -147,7 +170,7 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
                 break
         else:
             made.append(mix(np.array([band.number], np.uint64) * _MULTIPLIER))
-    return np.concatenate(made)
+    return np.concatenate(made) & _SIGN  # shorter to send; equal by chance only costs a comparison
 
 
 # --- groups of equal signatures ---------------------------------------------------------------------
@@ -197,25 +220,33 @@ def _distinct_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np
     return pairs[:, 0], pairs[:, 1]
 
 
-_BLOCKS = "place int, kind string, first binary, second binary, third binary"
-_FOUND = "kind string, a bigint, b bigint, n bigint"
+_BLOCKS = "place int, kind string, first binary, second binary, third binary, fourth binary"
+_FOUND = "kind string, a bigint, b bigint, n bigint, sketch binary"
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-    names = ["place", "kind", "first", "second", "third"]
+    kinds = [pa.int32(), pa.string(), *[pa.binary()] * 4]
+    names = ["place", "kind", "first", "second", "third", "fourth"]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
 
-def _dealt(kind: str, places: np.ndarray, count: int, *columns: np.ndarray) -> list[tuple]:
-    """Blocks of the columns' rows, by place."""
+def _runs(places: np.ndarray, count: int, *columns: np.ndarray):
+    """The columns' rows by place."""
     order = np.argsort(places, kind="stable")
     columns = [c[order] for c in columns]
-    bounds = np.searchsorted(places[order], np.arange(count + 1))
-    return [
-        (p, kind, *(c[s:e].tobytes() for c in columns), *[None] * (3 - len(columns)))
-        for p, (s, e) in enumerate(zip(bounds, bounds[1:], strict=False)) if e > s
-    ]
+    bounds = np.searchsorted(places[order], np.arange(count + 1)).tolist()
+    for place, (start, end) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if end > start:
+            yield place, [c[start:end] for c in columns]
+
+
+def _dealt(kind: str, places: np.ndarray, count: int, *columns: np.ndarray) -> list[tuple]:
+    """Blocks of the columns' rows, by place."""
+    return [(p, kind, *(c.tobytes() for c in own), *[None] * (4 - len(own))) for p, own in _runs(places, count, *columns)]
+
+
+def _spread(values: np.ndarray, count: int) -> np.ndarray:
+    return (mix(values) % np.uint64(count)).astype(np.int64)
 
 
 def _blocks(batches, count: int) -> Iterator[pa.RecordBatch]:
@@ -226,11 +257,13 @@ def _blocks(batches, count: int) -> Iterator[pa.RecordBatch]:
             sets += shingle_sets(part.column("text").to_pylist())
         nodes = np.array([node_of(s) for s in sets], np.int64)
         sizes = np.array([len(s) for s in sets], np.int64)
+        sketches = np.array([sketch(s) for s in sets], "V128")
         known = np.asarray(ids.is_valid())
         keys = np.asarray(ids.fill_null(0), np.int64)
-        place = (mix(keys.view(np.uint64) + nodes.view(np.uint64)) % np.uint64(count)).astype(np.int64)
-        rows = _dealt("document", place[known], count, keys[known], nodes[known], sizes[known])
-        rows += _dealt("nameless", place[~known], count, keys[~known], nodes[~known], sizes[~known])
+        place = _spread(keys.view(np.uint64) + nodes.view(np.uint64), count)
+        rows = []
+        for kind, own in (("document", known), ("nameless", ~known)):
+            rows += _dealt(kind, place[own], count, keys[own], nodes[own], sizes[own], sketches[own])
         _, firsts = np.unique(nodes, return_index=True)
         made = [(signatures(sets[k]), nodes[k]) for k in firsts if sizes[k]]
         del sets
@@ -245,61 +278,91 @@ def _united(signs: np.ndarray, owners: np.ndarray, count: int) -> list[tuple]:
     signs, nodes, starts, runs = _groups(signs, owners)
     chosen = _chosen(signs, nodes, starts, runs)
     several = runs > 1
-    place = ((signs[chosen] >> np.uint64(20)) % np.uint64(count)).astype(np.int64)
-    rows = _dealt("signature", place, count, signs[chosen], nodes[chosen], several.astype(np.uint8))
+    rows = []
+    # A signature takes 47 bits and one that says whether several local sets have it; its set is named
+    # by its place in a short list.
+    marked = signs[chosen] | (several.astype(np.uint64) << np.uint64(_SIGN_BITS))
+    for place, (marks, own) in _runs((signs[chosen] % np.uint64(count)).astype(np.int64), count, marked, nodes[chosen]):
+        names, named = np.unique(own, return_inverse=True)
+        short = np.uint16 if len(names) <= 1 << 16 else np.uint32
+        parts = (marks.astype(np.uint32), (marks >> np.uint64(32)).astype(np.uint16), named.astype(short), names)
+        rows.append((place, "signature", *(p.tobytes() for p in parts)))
     left, right = _distinct_pairs(*_pairs(nodes, starts, runs, chosen))
-    place = (mix(left.view(np.uint64) + right.view(np.uint64)) % np.uint64(count)).astype(np.int64)
-    rows += _dealt("pair", place, count, left, right)
+    rows += _dealt("pair", _spread(left.view(np.uint64) + right.view(np.uint64), count), count, left, right)
     members = np.flatnonzero(np.repeat(several, runs))
-    place = (mix(signs[members] + nodes[members].view(np.uint64)) % np.uint64(count)).astype(np.int64)
+    place = _spread(signs[members] + nodes[members].view(np.uint64), count)
     return rows + _dealt("member", place, count, signs[members].view(np.int64), nodes[members])
 
 
-def _table(kind: str, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-    columns = [pa.array([kind] * len(a), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
-    columns.append(pa.array(n, pa.int64()) if n is not None else pa.nulls(len(a), pa.int64()))
-    return pa.RecordBatch.from_arrays(columns, ["kind", "a", "b", "n"])
+def _unpacked(first: bytes, second: bytes, third: bytes, fourth: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low, high = np.frombuffer(first, np.uint32), np.frombuffer(second, np.uint16)
+    named = np.frombuffer(third, np.uint16 if len(third) == 2 * len(low) else np.uint32)
+    marks = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+    return marks & _SIGN, np.frombuffer(fourth, np.int64)[named], (marks >> np.uint64(_SIGN_BITS)).astype(bool)
+
+
+def _table(kind: str, a, b: np.ndarray, n: np.ndarray | None = None, sketches: list[bytes] | None = None) -> pa.RecordBatch:
+    columns = [pa.array([kind] * len(b), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+    columns.append(pa.nulls(len(b), pa.int64()) if n is None else pa.array(n, pa.int64()))
+    columns.append(pa.nulls(len(b), pa.binary()) if sketches is None else pa.array(sketches, pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, ["kind", "a", "b", "n", "sketch"])
 
 
 def _meet(batches) -> Iterator[pa.RecordBatch]:
     """What the blocks of a partition hold together: documents, pairs to compare and members of open groups."""
-    signs, nodes, several, lefts, rights = [], [], [], [], []
+    signatures, pairs = [], []
     for batch in batches:
-        for kind, first, second, third in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
-            a, b = np.frombuffer(first, np.int64), np.frombuffer(second, np.int64)
-            if kind in ("document", "nameless"):
-                named = pa.array(a, pa.int64()) if kind == "document" else pa.nulls(len(a), pa.int64())
-                yield _table("document", named, b, np.frombuffer(third, np.int64))
-            elif kind == "member":
+        for kind, *parts in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+            if kind == "signature":
+                signatures.append(_unpacked(*parts))
+                continue
+            a, b = np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], np.int64)
+            if kind == "member":
                 yield _table(kind, a, b)
             elif kind == "pair":
-                lefts.append(a)
-                rights.append(b)
+                pairs.append((a, b))
             else:
-                signs.append(a.view(np.uint64))
-                nodes.append(b)
-                several.append(np.frombuffer(third, np.uint8).astype(bool))
-    if signs:
-        found, own, starts, runs, open_ = _groups(*map(np.concatenate, (signs, nodes, several)))
-        del signs, nodes, several
-        chosen = _chosen(found, own, starts, runs)
-        left, right = _pairs(own, starts, runs, chosen)
-        lefts.append(left)
-        rights.append(right)
-        unfinished = (runs > SMALL_GROUP) | ((runs > 1) & np.logical_or.reduceat(open_, starts))
+                named = a if kind == "document" else pa.nulls(len(a), pa.int64())
+                sketches = [parts[3][k : k + 128] for k in range(0, len(parts[3]), 128)]
+                yield _table("document", named, b, np.frombuffer(parts[2], np.int64), sketches)
+    if signatures:
+        signs, nodes, starts, runs, several = _groups(*(np.concatenate(c) for c in zip(*signatures, strict=True)))
+        signatures = None
+        chosen = _chosen(signs, nodes, starts, runs)
+        pairs.append(_pairs(nodes, starts, runs, chosen))
+        unfinished = (runs > SMALL_GROUP) | ((runs > 1) & np.logical_or.reduceat(several, starts))
         members = np.flatnonzero(np.repeat(unfinished, runs))
-        yield _table("member", found[members].view(np.int64), own[members])
-    if lefts:
-        yield _table("pair", *_distinct_pairs(np.concatenate(lefts), np.concatenate(rights)))
+        yield _table("member", signs[members].view(np.int64), nodes[members])
+    if pairs:
+        yield _table("pair", *_distinct_pairs(*(np.concatenate(c) for c in zip(*pairs, strict=True))))
 
 
 # --- comparing ---------------------------------------------------------------------------------------
 
 
-def _node_texts(rows: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of the wanted nodes (column node): the text of one document that has the set."""
-    known = found.filter("kind = 'document'").select(F.col("b").alias("node"), F.col("a").alias("key"))
-    sources = known.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+def _sketches(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 128)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches leave."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def left(batches):
+        for batch in batches:
+            if batch.num_rows:
+                sizes = [np.asarray(batch.column(x), np.int64) for x in ("n_a", "n_b")]
+                keep = may_link(*sizes, _sketches(batch, "sketch_a"), _sketches(batch, "sketch_b"))
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return arrow_map(met, left, "a bigint, b bigint")
+
+
+def _node_texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node, text of the nodes in pairs: the text of the document with the smallest id that has the set."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sources = stored(nodes.join(wanted, "node").select("node", "key"), "node-sources")
 
     def same(batches):
         # Other rows may have the same id and another text.
@@ -333,15 +396,56 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(met, near, "a bigint, b bigint")
 
 
-def _open_pairs(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes that share an unfinished group's signature and have different labels so far."""
+def _open_pairs(found: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs that share an unfinished group's signature, have different labels so far and may be linked.
+
+    A group's members meet in cells of at most CELL_ROWS to a side; only possible pairs leave a cell.
+    """
     members = found.filter("kind = 'member'").select(F.col("a").alias("sign"), F.col("b").alias("node")).distinct()
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    spread = labelled.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    open_ = stored(labelled.join(spread.select("sign"), "sign", "left_semi"), "open-groups")
-    other = open_.select("sign", F.col("node").alias("b"), F.col("label").alias("other"))
-    met = open_.join(other, "sign").filter("label < other")
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    spread = labelled.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    spread = spread.filter("low != high").select("sign", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("blocks"))
+    own = labelled.join(spread, "sign").join(nodes.select("node", "n", "sketch"), "node")
+    block = own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cells = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = [F.col("sign"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    cells = cells.select(*cell, "node", "label", "n", "sketch").repartition("sign", "low", "high")
+    met = arrow_map(cells.sortWithinPartitions("sign", "low", "high"), _cells, "a bigint, b bigint")
+    return met.distinct()
+
+
+def _cells(batches) -> Iterator[pa.RecordBatch]:
+    """Possible pairs of rows that come sorted by cell."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([np.asarray(batch.column(k), np.int64) for k in range(3)], axis=1)
+        cuts = [0, *(1 + np.flatnonzero((np.diff(names, axis=0) != 0).any(axis=1))).tolist(), batch.num_rows]
+        if held and any(held[-1].column(k)[-1].as_py() != names[0, k] for k in range(3)):
+            yield _possible_in(held)
+            held = []
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            held.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield _possible_in(held)
+                held = []
+    if held:
+        yield _possible_in(held)
+
+
+def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    nodes, labels, sizes = (np.concatenate([np.asarray(p.column(k), np.int64) for p in parts]) for k in (3, 4, 5))
+    classes = np.concatenate([_sketches(p, "sketch") for p in parts])
+    left, right = [], []
+    for row in range(len(nodes) - 1):
+        rest = row + 1 + np.flatnonzero(labels[row + 1 :] != labels[row])
+        rest = rest[may_link(sizes[row], sizes[rest], classes[row], classes[rest])]
+        left.append(np.full(len(rest), nodes[row]))
+        right.append(nodes[rest])
+    left, right = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
+    columns = [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -349,28 +453,21 @@ def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     spark = documents.sparkSession
     rows = documents.select(documents[key].cast("bigint").alias("key"), documents[text].cast("string").alias("text"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = arrow_map(rows, lambda b: _blocks(b, 4 * count), _BLOCKS)
-    met = arrow_map(blocks.repartition(count, "place"), _meet, _FOUND)
-    found = stored(met, "signature-groups")
-    pairs = stored(found.filter("kind = 'pair'").select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = _node_texts(rows, found, wanted)
-    links = stored(_linked(pairs, texts), "links")
+    blocks = arrow_map(rows, lambda b: _blocks(b, 2 * count), _BLOCKS)
+    found = stored(arrow_map(blocks.repartition(count, "place"), _meet, _FOUND), "signature-groups")
+    known = found.filter("kind = 'document'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n"), "sketch")
+    nodes = known.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = stored(nodes, "nodes")
+    pairs = stored(_possible(found.filter("kind = 'pair'").select("a", "b").distinct(), nodes), "pairs")
+    links = stored(_linked(pairs, _node_texts(rows, nodes, pairs)), "links")
     labels = components(links)
-    more = stored(_open_pairs(found, labels), "open-pairs")
+    more = stored(_open_pairs(found, labels, nodes).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
     if not more.isEmpty():
-        more = more.join(pairs, ["a", "b"], "left_anti")
-        needed = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
-        unseen = needed.join(texts, "node", "left_anti")
-        if not unseen.isEmpty():
-            texts = texts.unionByName(_node_texts(rows, found, unseen))
-        labels = components(links.unionByName(_linked(more, texts)))
-    known = found.filter("kind = 'document'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n").alias("n_shingles"))
-    labelled = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    names = labelled.filter("n_shingles > 0").groupBy("label").agg(F.min("key").alias("component_id"))
-    named = labelled.join(names, "label", "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key"))
-    return named.select(F.col("key").alias(key), "n_shingles", own.alias("component_id"))
+        labels = components(links.unionByName(_linked(more, _node_texts(rows, nodes, more))))
+    labelled = known.drop("sketch").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    names = labelled.filter("n > 0").groupBy("label").agg(F.min("key").alias("component_id"))
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
+    return labelled.join(names, "label", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
