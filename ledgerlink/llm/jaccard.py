@@ -40,6 +40,8 @@ SHINGLE, SHARE = 5, 80
 PARTITIONS = 3
 #: So many sets with one signature are compared in all pairs; more, at first with a chosen one.
 SMALL_GROUP = 8
+#: Places of the filter of documents whose texts are compared, a bit each.
+FILTER_PLACES = 1 << 22
 #: Rows of either side of a cell of a large group.
 CELL_ROWS = 2048
 #: Bytes of text whose signatures are united and packed together.
@@ -101,9 +103,21 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Counts of a set's elements in 128 classes by hash, up to 255 each."""
-    classes = (mix(shingles) >> np.uint64(57)).astype(np.int64)
-    return np.minimum(np.bincount(classes, minlength=128), 255).astype(np.uint8).tobytes()
+    """Counts of a set's elements, up to 255, in classes by hash: a power of two of them, about one to two elements."""
+    width = min(12, max(6, int(len(shingles) - 1).bit_length() - 1))
+    classes = (mix(shingles) >> np.uint64(64 - width)).astype(np.int64)
+    return np.minimum(np.bincount(classes, minlength=1 << width), 255).astype(np.uint8).tobytes()
+
+
+def narrowed(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of `width` classes each; classes of wider ones are added up."""
+    made = np.empty((len(sketches), width), np.int16)
+    lengths = np.array([len(s) for s in sketches])
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        counts = np.frombuffer(b"".join([sketches[r] for r in rows]), np.uint8).reshape(len(rows), width, -1)
+        made[rows] = counts.sum(axis=2, dtype=np.int16)
+    return made
 
 
 def may_link(size: np.ndarray, other: np.ndarray, classes: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -112,7 +126,7 @@ def may_link(size: np.ndarray, other: np.ndarray, classes: np.ndarray, others: n
     Sets of a and b elements with Jaccard of SHARE percent differ in (100 - SHARE) / (100 + SHARE) of a + b
     at most, and the differences of their classes' counts add up to no more than that.
     """
-    apart = np.abs(classes.astype(np.int16) - others).sum(axis=-1, dtype=np.int64)
+    apart = np.abs(classes - others).sum(axis=-1, dtype=np.int64)
     ratio = 100 * np.minimum(size, other) >= SHARE * np.maximum(size, other)
     return ratio & ((100 + SHARE) * apart <= (100 - SHARE) * (size + other))
 
@@ -257,13 +271,15 @@ def _blocks(batches, count: int) -> Iterator[pa.RecordBatch]:
             sets += shingle_sets(part.column("text").to_pylist())
         nodes = np.array([node_of(s) for s in sets], np.int64)
         sizes = np.array([len(s) for s in sets], np.int64)
-        sketches = np.array([sketch(s) for s in sets], "V128")
+        sketches = np.array([sketch(s) for s in sets] + [None], object)[:-1]  # of differing lengths
         known = np.asarray(ids.is_valid())
         keys = np.asarray(ids.fill_null(0), np.int64)
         place = _spread(keys.view(np.uint64) + nodes.view(np.uint64), count)
         rows = []
         for kind, own in (("document", known), ("nameless", ~known)):
-            rows += _dealt(kind, place[own], count, keys[own], nodes[own], sizes[own], sketches[own])
+            for p, (k, n, size, sketched) in _runs(place[own], count, keys[own], nodes[own], sizes[own], sketches[own]):
+                lengths = np.array([len(x) for x in sketched], np.int64)
+                rows.append((p, kind, k.tobytes(), n.tobytes(), np.stack((size, lengths)).tobytes(), b"".join(sketched)))
         _, firsts = np.unique(nodes, return_index=True)
         made = [(signatures(sets[k]), nodes[k]) for k in firsts if sizes[k]]
         del sets
@@ -323,8 +339,10 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
                 pairs.append((a, b))
             else:
                 named = a if kind == "document" else pa.nulls(len(a), pa.int64())
-                sketches = [parts[3][k : k + 128] for k in range(0, len(parts[3]), 128)]
-                yield _table("document", named, b, np.frombuffer(parts[2], np.int64), sketches)
+                sizes, lengths = np.frombuffer(parts[2], np.int64).reshape(2, -1)
+                ends = np.cumsum(lengths).tolist()
+                sketches = [parts[3][e - n : e] for e, n in zip(ends, lengths.tolist(), strict=True)]
+                yield _table("document", named, b, sizes, sketches)
     if signatures:
         signs, nodes, starts, runs, several = _groups(*(np.concatenate(c) for c in zip(*signatures, strict=True)))
         signatures = None
@@ -340,10 +358,6 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
 # --- comparing ---------------------------------------------------------------------------------------
 
 
-def _sketches(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, 128)
-
-
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and sketches leave."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -353,16 +367,33 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 sizes = [np.asarray(batch.column(x), np.int64) for x in ("n_a", "n_b")]
-                keep = may_link(*sizes, _sketches(batch, "sketch_a"), _sketches(batch, "sketch_b"))
+                sketches = [np.array([*batch.column(x).to_pylist(), None], object)[:-1] for x in ("sketch_a", "sketch_b")]
+                widths = np.minimum(*(np.array([len(x) for x in side]) for side in sketches))
+                keep = np.zeros(batch.num_rows, bool)
+                for width in np.unique(widths):
+                    own = np.flatnonzero(widths == width)
+                    keep[own] = may_link(sizes[0][own], sizes[1][own], *(narrowed(list(side[own]), width) for side in sketches))
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return arrow_map(met, left, "a bigint, b bigint")
 
 
-def _node_texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node, text of the nodes in pairs: the text of the document with the smallest id that has the set."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _node_texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the wanted nodes: the text of the document with the smallest id that has the set.
+
+    A bit for each place of a hashed table of fixed size keeps most other documents out of the shuffle.
+    """
     sources = stored(nodes.join(wanted, "node").select("node", "key"), "node-sources")
+    places = sources.select(F.pmod(F.xxhash64("key"), F.lit(FILTER_PLACES)).cast("int").alias("place")).distinct().toArrow()
+    marks = np.zeros(FILTER_PLACES, bool)
+    marks[np.asarray(places.column(0))] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(marks).tobytes())
+
+    def marked(batches):
+        known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        for batch in batches:
+            keep = pa.array(known[np.asarray(batch.column("place"), np.int64)])
+            yield batch.drop_columns(["place"]).filter(keep)
 
     def same(batches):
         # Other rows may have the same id and another text.
@@ -371,10 +402,16 @@ def _node_texts(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFram
             hit = [node_of(s) == n for s, n in zip(sets, batch.column("node").to_pylist(), strict=True)]
             yield batch.filter(pa.array(hit, pa.bool_()))
 
-    met = rows.join(sources, "key").select("node", "text")
+    placed = rows.filter("key is not null").withColumn("place", F.pmod(F.xxhash64("key"), F.lit(FILTER_PLACES)).cast("int"))
+    found = arrow_map(placed, marked, "key bigint, text string")
+    met = found.join(sources, "key").select("node", "text")
     return stored(arrow_map(met, same, "node bigint, text string").dropDuplicates(["node"]), "node-texts")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b of the pairs that are near enough; a's text is read once for a run of its pairs."""
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -436,7 +473,8 @@ def _cells(batches) -> Iterator[pa.RecordBatch]:
 
 def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     nodes, labels, sizes = (np.concatenate([np.asarray(p.column(k), np.int64) for p in parts]) for k in (3, 4, 5))
-    classes = np.concatenate([_sketches(p, "sketch") for p in parts])
+    sketches = [x for p in parts for x in p.column("sketch").to_pylist()]
+    classes = narrowed(sketches, min(map(len, sketches)))
     left, right = [], []
     for row in range(len(nodes) - 1):
         rest = row + 1 + np.flatnonzero(labels[row + 1 :] != labels[row])
@@ -459,11 +497,14 @@ def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     nodes = known.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes, "nodes")
     pairs = stored(_possible(found.filter("kind = 'pair'").select("a", "b").distinct(), nodes), "pairs")
-    links = stored(_linked(pairs, _node_texts(rows, nodes, pairs)), "links")
+    texts = _node_texts(rows, nodes, _ends(pairs))
+    links = stored(_linked(pairs, texts), "links")
     labels = components(links)
     more = stored(_open_pairs(found, labels, nodes).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
     if not more.isEmpty():
-        labels = components(links.unionByName(_linked(more, _node_texts(rows, nodes, more))))
+        unseen = _ends(more).join(texts, "node", "left_anti")
+        texts = texts.unionByName(_node_texts(rows, nodes, unseen))
+        labels = components(links.unionByName(_linked(more, texts)))
     labelled = known.drop("sketch").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = labelled.filter("n > 0").groupBy("label").agg(F.min("key").alias("component_id"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
