@@ -370,13 +370,21 @@ SQL: dict[str, str] = {
         then="""select curation, count(*) as total, count(match_type) as matched, count(*) - count(match_type) as not_found,
           round(100 * count(match_type) / count(*), 6) as match_rate from linked group by curation""",
     ),
-    "station_totals": _station_sums(w.STATIONS_BEFORE),
-    "station_totals_v2": _station_sums_v2(w.STATIONS_BEFORE),
+    "station_totals": _station_sums(w.STATIONS_ALL),
+    "station_totals_v2": _station_sums_v2(w.STATIONS_ALL),
+    # Sums of decimals that are never a tie, so decimal rounding is an independent check.
+    "station_totals_large": f"""select station, sum(song_count::bigint)::bigint as songs,
+      round(sum(total_hours::decimal(38, 9)), 2)::double as hours from ({w.STATIONS_LARGE}) group by station""",
+    "station_totals_v2_mixed": f"""select station, sum(songs)::bigint as songs, round(sum(hours), 2)::double as hours from (
+      select trim(station) as station, replace(song_count, ',', '')::bigint as songs,
+        case when total_hours <> '' then {_rounded("try_cast(total_hours as double)", 2)}
+          else {_rounded("coalesce(trunc(try_cast(total_seconds as double)), 0) / 3600", 2)} end::decimal(28, 9) as hours
+      from ({w.STATIONS_MIXED})) where station <> '' group by station""",
     "station_diff": _with(*_DIFF, then="select * from changes"),
     "station_diff_of_totals": _with(*_DIFF, then="select * from changes"),
     "station_report_lines": _with(*_DIFF, then="select line from changes order by station"),
     "station_report_unchanged": f"""select '[info] no changes.' as line
-      where (select count(*) from ({w.STATIONS_BEFORE})) >= 0""",
+      where (select count(*) from ({w.STATIONS_ALL})) >= 0""",
     "report_messages": _with(*_REPORTS, _packing(), then=_PACKED, recursive=True),
     "report_messages_whole": _with(
         *_REPORTS,

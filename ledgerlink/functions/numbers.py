@@ -16,7 +16,8 @@ def round_half_even(value: Column, digits: int) -> Column:
 
     `F.round` and `F.bround` look at the shortest decimal text instead, so 2.675 becomes 2.68
     there and 2.67 here.  Where the scaled value is too close to a tie to tell, the value is
-    split into two halves (Veltkamp) whose products with 2*10^digits are exact.
+    split into two halves (Veltkamp) whose products with 2*10^digits are exact.  From 2^30 on, a
+    value has so few binary places after the point that the fraction times 10^digits is exact.
     """
     scale = float(10**digits)
     size = F.abs(value)
@@ -35,8 +36,11 @@ def round_half_even(value: Column, digits: int) -> Column:
     )
     rounded = nearest / scale
     signed = F.when(value < 0, -rounded).otherwise(rounded)
-    # Infinite, NaN and values without decimals left are their own rounding.
-    return F.when(scaled < 4.0e12, signed).otherwise(value)
+    whole = F.floor(size).cast("double")
+    large = whole + F.rint((size - whole) * scale) / scale
+    signed_large = F.when(value < 0, -large).otherwise(large)
+    # Infinite, NaN and values from 2^52 on, which are whole, are their own rounding.
+    return F.when(size < 2.0**30, signed).when(size < 2.0**52, signed_large).otherwise(value)
 
 
 def parse_number(text: Column) -> Column:
@@ -71,8 +75,14 @@ def _parse(text: Column, underscores: bool = False) -> Column:
 
 
 def to_count(number: Column) -> Column:
-    """Whole number, truncated toward zero; what does not fit (infinities) counts as 0."""
-    return F.coalesce(number.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Whole number, truncated toward zero; infinities and NaN count as 0.
+
+    A finite number that a bigint cannot hold is an error rather than another number.
+    """
+    whole = number.try_cast("bigint")
+    beyond = F.raise_error(F.concat(F.lit("a count is too large: "), number.cast("string"))).cast("bigint")
+    finite = (F.abs(number) < float("inf")) & ~F.isnan(number)
+    return F.when((F.abs(number) >= 2.0**63) & finite, beyond).otherwise(F.coalesce(whole, F.lit(0).cast("bigint")))
 
 
 def plain_decimal(text: Column) -> Column:

@@ -135,16 +135,18 @@ def pack_lines(lines: DataFrame, by: str, order: Sequence[str], limit: int | Non
     """(`by`, message_no, message) for rows of `by`, the `order` columns and `line`.
 
     Over-long lines are not split.  `limit=None` joins a report into one message without a final
-    line end; that is one value by definition, whatever its length.
+    line end, its lines as they are; that is one value by definition, whatever its length.
     """
-    pieces = lines.select(
-        F.col(by).cast("string").alias("report"), *order, F.posexplode(F.split("line", _LINE_BREAKS)).alias("piece", "line")
-    )
-    keys = [*order, "piece"]
+    # A null report is a report of its own; the steps in Python need a name that is never null.
+    report = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit(""))
+    named = F.when(F.col("report") != "", F.substr("report", F.lit(2))).alias(by)
     if limit is None:
-        key = F.struct(*keys)
-        whole = pieces.withColumn("key", key).groupBy("report").agg(F.array_join(_in_order("key", "line"), "\n").alias("message"))
-        return whole.select(F.col("report").alias(by), F.lit(0).cast("bigint").alias("message_no"), "message")
+        keyed = lines.select(report.alias("report"), F.struct(*order).alias("key"), "line")
+        whole = keyed.groupBy("report").agg(F.array_join(_in_order("key", "line"), "\n").alias("message"))
+        return whole.select(named, F.lit(0).cast("bigint").alias("message_no"), "message")
+
+    pieces = lines.select(report.alias("report"), *order, F.posexplode(F.split("line", _LINE_BREAKS)).alias("piece", "line"))
+    keys = [*order, "piece"]
 
     # Sampling makes range bounds differ between runs, so the placement is stored before use.
     placed = checkpointed(
@@ -168,6 +170,5 @@ def pack_lines(lines: DataFrame, by: str, order: Sequence[str], limit: int | Non
         .cogroup(entries.groupBy("report", "part"))
         .applyInPandas(_cut(limit), "report string, part int, message_no long, text string")
     )
-    return fragments.groupBy(F.col("report").alias(by), "message_no").agg(
-        F.array_join(_in_order("part", "text"), "").alias("message")
-    )
+    messages = fragments.groupBy("report", "message_no").agg(F.array_join(_in_order("part", "text"), "").alias("message"))
+    return messages.select(named, "message_no", "message")

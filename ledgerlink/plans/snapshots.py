@@ -25,6 +25,7 @@ from ledgerlink.operators.headers import (
     resolve_station,
 )
 from ledgerlink.operators.packing import MESSAGE_LIMIT, pack_lines
+from ledgerlink.sources.store import stored
 
 NO_CHANGES = "[info] no changes."
 
@@ -161,7 +162,7 @@ def update_line() -> Column:
 
 def report_lines(changes: DataFrame) -> DataFrame:
     """Report in station order, one line per change, or the single line that nothing changed."""
-    lines = changes.select("station", "line")
+    lines = stored(changes.select("station", "line"), "report-lines")  # used twice, and sampled by the sort
     nothing = (
         lines.limit(1).agg(F.count("*").alias("n")).filter("n = 0")
         .select(F.lit("").alias("station"), F.lit(NO_CHANGES).alias("line"))
@@ -177,8 +178,11 @@ def report_messages(
     `changes` has a report column; `titles` one row (report, title) for every report that is sent,
     changed or not.  `limit=None` gives one message per report.
     """
+    changes = stored(changes.select(by, "station", "line"), "report-changes")  # used twice, and sampled by the sort
     changed = changes.select(by).distinct().withColumn("changed", F.lit(True))
-    quiet = titles.join(changed, by, "left").filter("changed is null")
+    titles = titles.withColumn("title_of", F.col(by)).drop(by)
+    quiet = titles.join(changed, F.col("title_of").eqNullSafe(F.col(by)), "left").filter("changed is null")
+    quiet, titles = (t.select(F.col("title_of").alias(by), "title") for t in (quiet, titles))
     lines = (
         titles.select(by, F.lit(0).alias("section"), F.lit("").alias("station"), F.col("title").alias("line"))
         .unionByName(changes.select(by, F.lit(1).alias("section"), "station", "line"))

@@ -32,7 +32,7 @@ select p_partkey as cur_id,
   case p_partkey % 8
     when 0 then p_name
     when 1 then concat(p_name, ' (Remastered 2011)')
-    when 2 then concat(substring(p_name, 1, 2), substring(p_name, 4, 100))
+    when 2 then concat(substring(p_name, 1, 2), substring(p_name, 4))
     when 3 then concat(p_name, ' feat. Someone Else')
     when 4 then p_name
     when 5 then concat(upper(p_name), '!')
@@ -56,21 +56,31 @@ WIDE_CURATION = CURATION.replace(
     " concat(p_name, ' ', cast(p_partkey % 997 as varchar(10))) as p_name from part) as part"
 )
 
-STATIONS_BEFORE = """
+STATIONS_ALL = """
 select concat(event_type, '-', cast(user_id % 20 as varchar(20))) as station,
   case when event_id % 97 = 0 then '1,250' else '1' end as song_count,
   case when event_id % 89 = 0 then '' else cast(value as varchar(40)) end as total_seconds
-from events where ts < timestamp '2024-01-16 00:00:00'"""
-STATIONS_AFTER = STATIONS_BEFORE.replace("ts <", "ts >=")
-
-
-def _ids_of_year(year: int) -> str:
-    return f"""
-select distinct o_custkey as id from orders
-where o_orderdate >= timestamp '{year}-01-01 00:00:00' and o_orderdate < timestamp '{year + 1}-01-01 00:00:00'"""
-
+from events"""
+# Two snapshots that hold the whole table between them.
+STATIONS_BEFORE = STATIONS_ALL + " where ts < timestamp '2024-01-16 00:00:00'"
+STATIONS_AFTER = STATIONS_ALL + " where ts >= timestamp '2024-01-16 00:00:00'"
+
+# Hours beyond 4e10 a station, with a third decimal that is never a 5.
+STATIONS_LARGE = """
+select concat(event_type, '-', cast(user_id % 20 as varchar(20))) as station, '1' as song_count,
+  concat(cast(cast(floor(abs(value) * 1000000000) as bigint) as varchar(30)), '.00', cast(event_id % 5 * 2 as varchar(2))) as total_hours
+from events"""
+
+# Blank and padded names; rows with hours, with seconds only, and with neither.
+STATIONS_MIXED = """
+select case when event_id % 13 = 0 then '   ' when event_id % 5 = 0 then concat('  ', event_type, ' ') else event_type end as station,
+  case when event_id % 97 = 0 then '1,250' else '1' end as song_count,
+  case when event_id % 3 = 0 then cast(cast(floor(abs(value) * 8) as bigint) / 8.0 as varchar(40)) else '' end as total_hours,
+  case when event_id % 7 = 0 then '' else cast(value as varchar(40)) end as total_seconds
+from events"""
 
-IDS_BEFORE, IDS_AFTER = _ids_of_year(1997), _ids_of_year(1998)
+IDS_BEFORE = "select distinct o_custkey as id from orders where o_orderdate < timestamp '1998-01-01 00:00:00'"
+IDS_AFTER = "select distinct o_custkey as id from orders where o_orderdate >= timestamp '1998-01-01 00:00:00'"
 
 TRACKS_TO_SEARCH = """
 select p_partkey as pos,
@@ -251,11 +261,15 @@ def match_stats(spark, sf_dir):
 
 
 def station_totals(spark, sf_dir):
-    return snapshots.station_totals(_station_rows(spark, sf_dir, STATIONS_BEFORE))
+    return snapshots.station_totals(_station_rows(spark, sf_dir, STATIONS_ALL))
+
+
+def station_totals_large(spark, sf_dir):
+    return snapshots.station_totals(_station_rows(spark, sf_dir, STATIONS_LARGE))
 
 
-def station_totals_v2(spark, sf_dir):
-    return snapshots.station_totals(snapshots.snapshot_rows_v2(Sheet.of(_stations(spark, sf_dir, STATIONS_BEFORE))))
+def station_totals_v2(spark, sf_dir, sql=STATIONS_ALL):
+    return snapshots.station_totals(snapshots.snapshot_rows_v2(Sheet.of(_stations(spark, sf_dir, sql))))
 
 
 def station_diff(spark, sf_dir):
@@ -275,7 +289,7 @@ def station_report_lines(spark, sf_dir):
 
 
 def station_report_unchanged(spark, sf_dir):
-    rows = _station_rows(spark, sf_dir, STATIONS_BEFORE)
+    rows = _station_rows(spark, sf_dir, STATIONS_ALL)
     return snapshots.report_lines(snapshots.compare_snapshots(rows, rows))
 
 
@@ -340,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "match_stats": match_stats,
     "station_totals": station_totals,
     "station_totals_v2": station_totals_v2,
+    "station_totals_large": station_totals_large,
+    "station_totals_v2_mixed": lambda spark, sf_dir: station_totals_v2(spark, sf_dir, STATIONS_MIXED),
     "station_diff": station_diff,
     "station_diff_of_totals": station_diff_of_totals,
     "station_report_lines": station_report_lines,

@@ -1,6 +1,7 @@
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.numbers import (
@@ -24,6 +25,9 @@ def test_round_like_python(spark):
     values += [k / 16 for k in range(100)] + [(2 * k + 1) / 2000 for k in range(2000)] + [(2 * k + 1) / 200 for k in range(2000)]
     values += [rnd.random() * 10 ** rnd.randint(-3, 9) for _ in range(5000)] + [-rnd.random() for _ in range(500)]
     values += [(2 * rnd.randint(0, 10**10) + 1) / 200 for _ in range(2000)]
+    values += [50000000000.126, 123456789012.345, -123456789012.345, 2.0**30, 2.0**30 - 0.005, 2.0**52 - 0.5, 2.0**52 + 1]
+    values += [rnd.choice([-1, 1]) * rnd.random() * 10 ** rnd.randint(9, 16) for _ in range(5000)]
+    values += [rnd.randint(2**30, 2**40) + k / 1024 for k in range(1024)]
     frame = spark.createDataFrame([(v,) for v in values], "x double")
     got = frame.select("x", round_half_even(F.col("x"), 2).alias("a"), round_half_even(F.col("x"), 3).alias("b"))
     assert all((repr(r.a), repr(r.b)) == (repr(round(r.x, 2)), repr(round(r.x, 3))) for r in got.collect())
@@ -49,6 +53,13 @@ def test_parse(spark):
         assert r.n == (0 if abs(number) == float("inf") else int(number)), r.x
 
 
+def test_counts_beyond_bigint(spark):
+    frame = spark.createDataFrame([(9.2e18,), (-9.2e18,), (float("inf"),), (float("nan"),), (None,)], "x double")
+    assert [r.n for r in frame.select(to_count(F.col("x")).alias("n")).collect()] == [92 * 10**17, -92 * 10**17, 0, 0, 0]
+    with pytest.raises(Exception, match="a count is too large"):
+        spark.createDataFrame([(1e20,)], "x double").select(to_count(F.col("x"))).collect()
+
+
 def test_plain_decimal_and_fixed2(spark):
     frame = spark.createDataFrame([("1.25",), ("1e3",), ("",), (" 7 ",)], "x string")
     assert [None if r.d is None else float(r.d) for r in frame.select(plain_decimal(F.col("x")).alias("d")).collect()] == [

@@ -74,7 +74,7 @@ def test_messages(spark):
     titles = spark.createDataFrame([("r", "Title"), ("quiet", "Nothing")], "report string, title string")
     lines = ["Title", *("x" * i for i in range(40))]
     got = report_messages(changes, titles, limit=100).orderBy("report", "message_no").collect()
-    assert [r.message for r in got if r.report == "r"] == plain.pack("\n".join(lines), 100)
+    assert plain.well_packed(lines, [r.message for r in got if r.report == "r"], 100)
     assert [r.message for r in got if r.report == "quiet"] == [f"Nothing\n{NO_CHANGES}\n"]
     whole = {r.report: r.message for r in report_messages(changes, titles, limit=None).collect()}
     assert whole == {"r": "\n".join(lines), "quiet": f"Nothing\n{NO_CHANGES}"}
@@ -90,7 +90,7 @@ def test_packing_across_partitions(spark, limit):
         lines = ["T" * rnd.choice([1, *long_])]
         lines += ["é" * (rnd.choice(long_) if rnd.random() < 0.2 else rnd.randint(0, 8)) for _ in range(count)] + ["end"]
         rows += [(report, i, line) for i, line in enumerate(lines)]
-        expected[report] = plain.pack("\n".join(lines), limit)
+        expected[report] = lines
     rnd.shuffle(rows)
     frame = spark.createDataFrame(rows, "report string, i int, line string").repartition(7)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -100,4 +100,22 @@ def test_packing_across_partitions(spark, limit):
             got.setdefault(r.report, []).append(r.message)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert got == expected
+    assert set(got) == set(expected)
+    assert all(plain.well_packed(lines, got[report], limit) for report, lines in expected.items())
+
+
+def test_packing_by_hand(spark):
+    rows = [("a", 0, "123456"), ("a", 1, "12"), ("a", 2, "1"), ("a", 3, "x" * 12), (None, 0, "n1"), (None, 1, "n2"), ("b", 0, "u\u2028v\rw")]
+    frame = spark.createDataFrame(rows, "report string, i int, line string")
+    got = {}
+    for r in pack_lines(frame, "report", ("i",), 10).orderBy("report", "message_no").collect():
+        got.setdefault(r.report, []).append(r.message)
+    assert got == {"a": ["123456\n12\n", "1\n", "x" * 12 + "\n"], None: ["n1\nn2\n"], "b": ["u\nv\nw\n"]}
+    whole = {r.report: r.message for r in pack_lines(frame, "report", ("i",), None).collect()}
+    assert whole == {"a": "123456\n12\n1\n" + "x" * 12, None: "n1\nn2", "b": "u\u2028v\rw"}
+
+
+def test_many_lines_of_a_report_without_name(spark):
+    frame = spark.createDataFrame([(None, i, f"line {i}") for i in range(3000)], "report string, i int, line string").repartition(5)
+    messages = [r.message for r in pack_lines(frame, "report", ("i",), 50).orderBy("message_no").collect()]
+    assert plain.well_packed([f"line {i}" for i in range(3000)], messages, 50)
