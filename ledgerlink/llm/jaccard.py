@@ -42,6 +42,8 @@ PARTITIONS = 3
 SMALL_GROUP = 8
 #: Places of the filter of documents whose texts are compared, a bit each.
 FILTER_PLACES = 1 << 22
+#: Signatures of each member that tell whether another group reports a pair.
+FIRST_SIGNS = 16
 #: Rows of either side of a cell of a large group.
 CELL_ROWS = 2048
 #: Bytes of text whose signatures are united and packed together.
@@ -437,16 +439,19 @@ def _open_pairs(found: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFr
     """Pairs that share an unfinished group's signature, have different labels so far and may be linked.
 
     A group's members meet in cells of at most CELL_ROWS to a side; only possible pairs leave a cell.
+    Pairs share many signatures: of those among both members' FIRST_SIGNS smallest, the smallest reports.
     """
     members = found.filter("kind = 'member'").select(F.col("a").alias("sign"), F.col("b").alias("node")).distinct()
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     spread = labelled.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
     spread = spread.filter("low != high").select("sign", F.ceil(F.col("size") / CELL_ROWS).cast("int").alias("blocks"))
-    own = labelled.join(spread, "sign").join(nodes.select("node", "n", "sketch"), "node")
+    own = stored(labelled.join(spread, "sign"), "open-groups")
+    firsts = own.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("sign")), 1, FIRST_SIGNS).alias("firsts"))
+    own = own.join(nodes.select("node", "n", "sketch").join(firsts, "node"), "node")
     block = own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     cells = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = [F.col("sign"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
-    cells = cells.select(*cell, "node", "label", "n", "sketch").repartition("sign", "low", "high")
+    cells = cells.select(*cell, "node", "label", "n", "sketch", "firsts").repartition("sign", "low", "high")
     met = arrow_map(cells.sortWithinPartitions("sign", "low", "high"), _cells, "a bigint, b bigint")
     return met.distinct()
 
@@ -475,10 +480,17 @@ def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     nodes, labels, sizes = (np.concatenate([np.asarray(p.column(k), np.int64) for p in parts]) for k in (3, 4, 5))
     sketches = [x for p in parts for x in p.column("sketch").to_pylist()]
     classes = narrowed(sketches, min(map(len, sketches)))
+    sign = parts[0].column("sign")[0].as_py()
+    firsts = np.full((len(nodes), FIRST_SIGNS), -1)  # those before this group's own
+    for row, signs in enumerate(x for p in parts for x in p.column("firsts").to_pylist()):
+        before = [x for x in signs if x < sign]
+        firsts[row, : len(before)] = before
     left, right = [], []
     for row in range(len(nodes) - 1):
         rest = row + 1 + np.flatnonzero(labels[row + 1 :] != labels[row])
         rest = rest[may_link(sizes[row], sizes[rest], classes[row], classes[rest])]
+        own = firsts[row][firsts[row] >= 0]
+        rest = rest[~np.isin(firsts[rest], own).any(axis=1)] if len(own) else rest
         left.append(np.full(len(rest), nodes[row]))
         right.append(nodes[rest])
     left, right = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
