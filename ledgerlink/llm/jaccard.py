@@ -486,13 +486,17 @@ def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         before = [x for x in signs if x < sign]
         firsts[row, : len(before)] = before
     left, right = [], []
-    for row in range(len(nodes) - 1):
-        rest = row + 1 + np.flatnonzero(labels[row + 1 :] != labels[row])
-        rest = rest[may_link(sizes[row], sizes[rest], classes[row], classes[rest])]
-        own = firsts[row][firsts[row] >= 0]
-        rest = rest[~np.isin(firsts[rest], own).any(axis=1)] if len(own) else rest
-        left.append(np.full(len(rest), nodes[row]))
-        right.append(nodes[rest])
+    # Some rows at a time against all later ones, about 2^21 counts of classes.
+    step = max(1, (1 << 21) // (len(nodes) * classes.shape[1]))
+    for low in range(0, len(nodes), step):
+        one, two = np.nonzero(labels[low : low + step, None] != labels[None, low:])
+        one, two = one[one < two] + low, two[one < two] + low
+        near = may_link(sizes[one], sizes[two], classes[one], classes[two])
+        one, two = one[near], two[near]
+        known = firsts[one][:, :, None]
+        elsewhere = ((known == firsts[two][:, None, :]) & (known >= 0)).any(axis=(1, 2))
+        left.append(nodes[one[~elsewhere]])
+        right.append(nodes[two[~elsewhere]])
     left, right = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
     columns = [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))]
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
