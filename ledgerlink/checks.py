@@ -359,6 +359,7 @@ SQL: dict[str, str] = {
     "match_cascade_no_album": _cascade(album=False),
     "match_v2": _cascade(v2=True),
     "match_wide": _cascade(library=w.WIDE_LIBRARY, curation=w.WIDE_CURATION),
+    "match_hot_word": _cascade(library=w.HOT_LIBRARY, curation=w.HOT_CURATION),
     "matched_rows": _with(
         *_cascade_steps(both=True), then="select * from linked where match_type is not null"
     ),

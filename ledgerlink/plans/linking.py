@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.numbers import round_half_even
-from ledgerlink.operators.blocks import SLICE_ROWS, artist_directory, artist_pairs, title_pairs
+from ledgerlink.operators.blocks import SLICE_ROWS, artist_directory, artist_pairs, title_pairs, word_pairs, word_seekers
 from ledgerlink.operators.catalog import CLEAN, curation_rows, library_rows
 from ledgerlink.operators.features import features
 from ledgerlink.operators.headers import with_missing
@@ -112,11 +112,17 @@ def fuzzy_candidates(
 
     Library rows are reduced to the first one per track and artist, so later albums of a track
     do not compete. Under the v2 rules they do.
+
+    `keys` and `artists` should be stored tables: whether any key needs the search by shared words
+    is asked here, since most inputs have none.
     """
     weights = weights or Weights()
-    blocks = artist_pairs(artists, weights, v2=v2, slice_rows=slice_rows)
+    blocks = artist_pairs(artists, weights, v2=v2, slice_rows=slice_rows, near=True)
     offered = index.select(*PAIR_KEY, F.col("first").alias("hit")) if v2 else keep_first(index, *PAIR_KEY)
     pairs = title_pairs(keys, offered, artists, blocks, weights)
+    seekers = word_seekers(keys, artists, v2=v2)
+    if weights.bounded and not seekers.isEmpty():
+        pairs = pairs.unionByName(word_pairs(seekers, offered, weights, slice_rows))
     scored = with_text_signals(pairs, {"title": ("key_title", "lib_title"), "album": ("key_album", "lib_album")})
     return scored.select(*KEY, "rank", "hit", *SIGNALS, F.expr(weights.score()).alias("score"))
 

@@ -56,6 +56,15 @@ WIDE_CURATION = CURATION.replace(
     " concat(p_name, ' ', cast(p_partkey % 997 as varchar(10))) as p_name from part) as part"
 )
 
+# Many artists behind one first word; two of eight rows name an unknown one, with an album.
+HOT_LIBRARY = LIBRARY.replace("p_brand as artist", "concat('The ', p_brand, ' ', cast(p_partkey % 101 as varchar(10))) as artist")
+HOT_CURATION = """
+select p_partkey as cur_id,
+  case when p_partkey % 3 = 0 then concat('my ', p_name) else p_name end as track,
+  concat('The ', case when p_partkey % 8 < 2 then 'Band ' else '' end, p_brand, ' ', cast(p_partkey % 101 as varchar(10))) as artist,
+  case when p_partkey % 16 = 0 then p_container else p_type end as album
+from part"""
+
 STATIONS_ALL = """
 select concat(event_type, '-', cast(user_id % 20 as varchar(20))) as station,
   case when event_id % 97 = 0 then '1,250' else '1' end as song_count,
@@ -239,6 +248,10 @@ def match_wide(spark, sf_dir):
     return linking.link(_curation(spark, sf_dir, sql=WIDE_CURATION), _library(spark, sf_dir, sql=WIDE_LIBRARY))
 
 
+def match_hot_word(spark, sf_dir):
+    return linking.link(_curation(spark, sf_dir, sql=HOT_CURATION), _library(spark, sf_dir, sql=HOT_LIBRARY))
+
+
 def _two_curations(spark, sf_dir):
     both = _curation(spark, sf_dir).unionByName(_curation(spark, sf_dir, album=False))
     return linking.link(both, _library(spark, sf_dir))
@@ -349,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "match_cascade_no_album": lambda spark, sf_dir: match_cascade(spark, sf_dir, album=False),
     "match_v2": lambda spark, sf_dir: match_cascade(spark, sf_dir, v2=True),
     "match_wide": match_wide,
+    "match_hot_word": match_hot_word,
     "matched_rows": matched_rows,
     "not_found_rows": not_found_rows,
     "match_stats": match_stats,

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.text import clean_text
+from ledgerlink.operators.blocks import artist_directory
 from ledgerlink.operators.catalog import curation_rows, library_rows
 from ledgerlink.operators.headers import Sheet
 from ledgerlink.operators.scoring import SIGNALS, Weights
-from ledgerlink.plans.linking import library_index, link, link_stats, matched, not_found
+from ledgerlink.plans.linking import KEY, distinct_keys, fuzzy_candidates, library_index, link, link_stats, matched, not_found
 from ledgerlink.sources.writers import MATCHED_COLUMNS
 from tests import plain
 
@@ -139,3 +140,26 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.count("partial_min") >= 1
     hot = index.filter("clean_artist = 'hot'").first()
     assert (hot.n_rows, hot.first.pos, hot.last.pos) == (10000, 0, 29997)
+
+
+@pytest.mark.parametrize(("v2", "slice_rows"), [(False, 1 << 14), (True, 5)])
+def test_one_first_word_with_albums(spark, v2, slice_rows):
+    """Unknown artists behind a common first word: found by artist, title word or album word, each pair once."""
+    rnd = random.Random(3)
+    words, names = ["love", "night", "sun", "hotel", "my"], ["who", "doors", "beatles", "kinks", "x"]
+    phrase = lambda n: " ".join(rnd.choice(words) for _ in range(rnd.randint(0, n)))
+    library = [(i, f"m{i}", phrase(3), f"the {rnd.choice(names)}", phrase(2)) for i in range(80)]
+    curation = []
+    for i in range(80):
+        _, _, track, artist, album = rnd.choice(library)
+        curation.append((i, rnd.choice([track, track + "x", phrase(2)]), artist + rnd.choice(["", "s", " 2"]), album))
+    weights = Weights(min_score=0.8)
+    cur, lib = frames(spark, library, curation)
+    linked = outcome(link(cur, lib, weights, v2=v2, slice_rows=slice_rows))
+    assert linked == expected(spark, library, curation, True, weights, v2)
+    assert {r[1] for r in linked.values() if r} >= {"fuzzy_album"}
+    index = library_index(lib)
+    keys = distinct_keys(cur)
+    artists = artist_directory(keys, index, v2=v2, slice_rows=slice_rows)
+    pairs = fuzzy_candidates(keys, index, artists, weights, v2=v2, slice_rows=slice_rows).select(*KEY, "hit.pos")
+    assert pairs.count() == pairs.distinct().count() > 0
