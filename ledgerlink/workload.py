@@ -62,7 +62,7 @@ HOT_CURATION = """
 select p_partkey as cur_id,
   case when p_partkey % 3 = 0 then concat('my ', p_name) else p_name end as track,
   concat('The ', case when p_partkey % 8 < 2 then 'Band ' else '' end, p_brand, ' ', cast(p_partkey % 101 as varchar(10))) as artist,
-  case when p_partkey % 16 = 0 then p_container else p_type end as album
+  case when p_partkey % 16 = 0 then concat('Box ', p_type) else p_type end as album
 from part"""
 
 STATIONS_ALL = """
