@@ -47,12 +47,15 @@ FIRST_SIGNS = 16
 #: Rows of either side of a cell of a large group.
 CELL_ROWS = 2048
 #: Bytes of text whose signatures are united and packed together.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
+#: Parts, by their leading bits, in which a partition's signatures are grouped.
+MEET_PARTS = 16
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SIGN_BITS = 47
 _SIGN = np.uint64((1 << _SIGN_BITS) - 1)
+_PART_SHIFT = np.uint64(_SIGN_BITS - (MEET_PARTS.bit_length() - 1))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -64,7 +67,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -288,6 +291,7 @@ def _blocks(batches, count: int) -> Iterator[pa.RecordBatch]:
         if made:
             signs = np.concatenate([m[0] for m in made])
             owners = np.repeat(np.array([m[1] for m in made], np.int64), [len(m[0]) for m in made])
+            made = None
             rows += _united(signs, owners, count)
         yield _packed(rows)
 
@@ -312,9 +316,9 @@ def _united(signs: np.ndarray, owners: np.ndarray, count: int) -> list[tuple]:
     return rows + _dealt("member", place, count, signs[members].view(np.int64), nodes[members])
 
 
-def _unpacked(first: bytes, second: bytes, third: bytes, fourth: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(first: pa.Buffer, second: pa.Buffer, third: pa.Buffer, fourth: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low, high = np.frombuffer(first, np.uint32), np.frombuffer(second, np.uint16)
-    named = np.frombuffer(third, np.uint16 if len(third) == 2 * len(low) else np.uint32)
+    named = np.frombuffer(third, np.uint16 if third.size == 2 * len(low) else np.uint32)
     marks = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
     return marks & _SIGN, np.frombuffer(fourth, np.int64)[named], (marks >> np.uint64(_SIGN_BITS)).astype(bool)
 
@@ -327,14 +331,21 @@ def _table(kind: str, a, b: np.ndarray, n: np.ndarray | None = None, sketches: l
 
 
 def _meet(batches) -> Iterator[pa.RecordBatch]:
-    """What the blocks of a partition hold together: documents, pairs to compare and members of open groups."""
-    signatures, pairs = [], []
+    """What the blocks of a partition hold together: documents, pairs to compare and members of open groups.
+
+    Signatures are grouped in MEET_PARTS parts one after the other, which bounds what sorting takes.
+    """
+    signatures, pairs = [[] for _ in range(MEET_PARTS)], []
     for batch in batches:
-        for kind, *parts in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+        for row in range(batch.num_rows):
+            kind = batch.column("kind")[row].as_py()
+            parts = [x.as_buffer() for x in (batch.column(k)[row] for k in range(2, 6)) if x.is_valid]
             if kind == "signature":
-                signatures.append(_unpacked(*parts))
+                signs, nodes, several = _unpacked(*parts)
+                for part, own in _runs((signs >> _PART_SHIFT).astype(np.int64), MEET_PARTS, signs, nodes, several):
+                    signatures[part].append(own)
                 continue
-            a, b = np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], np.int64)
+            a, b = (np.frombuffer(x, np.int64).copy() for x in parts[:2])
             if kind == "member":
                 yield _table(kind, a, b)
             elif kind == "pair":
@@ -343,13 +354,16 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
                 named = a if kind == "document" else pa.nulls(len(a), pa.int64())
                 sizes, lengths = np.frombuffer(parts[2], np.int64).reshape(2, -1)
                 ends = np.cumsum(lengths).tolist()
-                sketches = [parts[3][e - n : e] for e, n in zip(ends, lengths.tolist(), strict=True)]
+                sketches = [parts[3][e - n : e].to_pybytes() for e, n in zip(ends, lengths.tolist(), strict=True)]
                 yield _table("document", named, b, sizes, sketches)
-    if signatures:
-        signs, nodes, starts, runs, several = _groups(*(np.concatenate(c) for c in zip(*signatures, strict=True)))
-        signatures = None
+    while signatures:
+        part = signatures.pop()
+        if not part:
+            continue
+        signs, nodes, starts, runs, several = _groups(*(np.concatenate(c) for c in zip(*part, strict=True)))
+        del part
         chosen = _chosen(signs, nodes, starts, runs)
-        pairs.append(_pairs(nodes, starts, runs, chosen))
+        pairs.append(_distinct_pairs(*_pairs(nodes, starts, runs, chosen)))
         unfinished = (runs > SMALL_GROUP) | ((runs > 1) & np.logical_or.reduceat(several, starts))
         members = np.flatnonzero(np.repeat(unfinished, runs))
         yield _table("member", signs[members].view(np.int64), nodes[members])
