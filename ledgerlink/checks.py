@@ -404,4 +404,13 @@ SQL: dict[str, str] = {
     "search_links_first_100": _links(f"{_STRIPPED} from ({w.TRACKS_TO_SEARCH}) order by pos limit 100"),
     "search_links_v1": f"""select pos, coalesce(track, '') as track, coalesce(artist, '') as artist,
       '{SEARCH_PREFIX}' || coalesce(track, '') || '+' || coalesce(artist, '') as url from ({w.TRACKS_TO_SEARCH})""",
+    "matched_from_files": _with(
+        *_cascade_steps(),
+        then=f"""select track, artist, album, matched_track, matched_artist, matched_album, mediaid, match_type,
+          {_signal_list(lambda n: f"{n}::varchar")} from linked where match_type is not null""",
+    ),
+    "not_found_from_files": _with(*_cascade_steps(), then="select track, artist, album from linked where match_type is null"),
+    "report_from_file": _with(*_DIFF, then="select line from changes"),
+    "search_links_from_files": f"""select pos::varchar as pos, track, artist, coalesce(album, '') as album, url
+      from ({_links(f"{_STRIPPED} from ({w.TRACKS_TO_SEARCH})")})""",
 }

@@ -18,8 +18,10 @@ NOT_FOUND_COLUMNS = ("track", "artist", "album")
 def _write(frame: DataFrame, path: str, fmt: str, by_curation: bool) -> None:
     writer = frame.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        # Quotes are doubled, and empty text stays empty rather than turning into "".
-        writer = writer.options(header=True, escape='"', emptyValue="")
+        # Quotes are doubled, empty text stays empty rather than turning into "", and spaces around a text stay.
+        writer = writer.options(
+            header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     if by_curation:
         writer = writer.partitionBy("curation")
     writer.save(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from ledgerlink.operators.features import features
 from ledgerlink.operators.headers import Sheet
 from ledgerlink.operators.scoring import SIGNALS, Weights, with_text_signals
 from ledgerlink.plans import ids, linking, search, snapshots
-from ledgerlink.sources.readers import missing_to_null
-from ledgerlink.sources.store import stored
+from ledgerlink.sources.readers import missing_to_null, scan_csv
+from ledgerlink.sources.store import shared_folder, stored
+from ledgerlink.sources.writers import write_links_result, write_report, write_search_links
 
 # --- views: the same SQL text runs on Spark and on the checking database ---------------------------
 
@@ -341,6 +343,37 @@ def search_links_v1(spark, sf_dir):
     return search.search_links_v1(sheet, key)
 
 
+# --- results written to files and scanned again -----------------------------------------------------
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scanned(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV table as text, by its headers."""
+    sheet = scan_csv(spark, path)
+    return sheet.frame.select(*(F.col(f"c{i}").alias(header) for i, header in enumerate(sheet.headers)))
+
+
+def links_from_files(spark, sf_dir, table):
+    path = _new_folder(spark, "links-result")
+    write_links_result(match_cascade(spark, sf_dir), path)
+    return _scanned(spark, f"{path}/{table}/curation=curation")
+
+
+def report_from_file(spark, sf_dir):
+    path = _new_folder(spark, "report")
+    write_report(station_report_lines(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def search_links_from_files(spark, sf_dir):
+    path = _new_folder(spark, "search-links")
+    write_search_links(search_links(spark, sf_dir), path)
+    return _scanned(spark, path)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -381,4 +414,8 @@ QUERIES: dict[str, Query] = {
     "search_links": search_links,
     "search_links_first_100": lambda spark, sf_dir: search_links(spark, sf_dir, limit=100),
     "search_links_v1": search_links_v1,
+    "matched_from_files": lambda spark, sf_dir: links_from_files(spark, sf_dir, "matched"),
+    "not_found_from_files": lambda spark, sf_dir: links_from_files(spark, sf_dir, "not_found"),
+    "report_from_file": report_from_file,
+    "search_links_from_files": search_links_from_files,
 }

@@ -77,6 +77,14 @@ def test_reports_and_links_to_files(spark, tmp_path):
         assert next(csv.DictReader(file))["track"] == 'a, "b"'
 
 
+def test_written_cells_come_back_as_they_were(spark, tmp_path):
+    cells = [(" a ", ""), ('say "x", y', "line\nbreak"), ("\\", "007")]
+    write_search_links(spark.createDataFrame(cells, "x string, y string"), str(tmp_path / "cells"))
+    sheet = scan_csv(spark, str(tmp_path / "cells"))
+    assert sheet.headers == ("x", "y")
+    assert sorted((r.c0, r.c1) for r in sheet.frame.collect()) == sorted(cells)
+
+
 def test_id_snapshots_from_files(spark, tmp_path):
     old = scan_csv(spark, written(tmp_path / "b.csv", "id,track\n123,x\n456,y\n789,z\n"))
     new = scan_csv(spark, written(tmp_path / "a.csv", "code,track\n123,x\n456,y\n999,z\n"))

@@ -16,6 +16,7 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables not prese
 SOME = (
     "clean_text_tail", "fold_documents", "pair_signals", "artist_blocks_v2", "match_cascade", "match_v2", "match_hot_word",
     "station_totals_v2", "station_report_lines", "report_messages", "id_changes", "search_links",
+    "report_from_file", "search_links_from_files",
 )
 
 
