@@ -1,14 +1,16 @@
 """Personal data, and the terms that give it away.
 
 Base spans are found by pattern: e-mail addresses, IP addresses, card numbers and phone numbers.  Each
-distinct value is a protected entity.  The terms within `CONTEXT` words of a mention are its context.
-Over all documents, N in number, with c documents where term and entity meet, the term's disclosure is
+distinct value is a protected entity.  The terms of a document are its words outside base spans, and they
+meet every entity of the document, however far apart.  Over all documents, N in number, with c documents
+where term and entity meet, and docs(term) that hold the word at all, the term's disclosure is
 
     log(N c / (docs(entity) docs(term))) / log(N / docs(entity)),
 
 the share of the entity's information that the term carries: 1 says that the term implies the entity.
-From `SUPPORT` meetings and a disclosure of `THRESHOLD` on, the term's occurrences near the entity are
-generalised to the prefix of the word, if the prefix itself stays below the threshold, and else removed.
+From `SUPPORT` meetings and a disclosure of `THRESHOLD` on, all the term's occurrences outside base spans,
+in whatever document, are generalised to the prefix of the word, if the prefix itself stays below the
+threshold for each entity that the term discloses, and else removed.
 
 Every row gives one row.  A null text counts as empty.  Copies count as documents.  Rows alike in
 key and text get the same spans.
@@ -20,7 +22,9 @@ import functools
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +33,12 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import arrow_map, fresh, slices, stored, texts
 
-CONTEXT, SUPPORT, THRESHOLD = 8, 3, 0.8
+SUPPORT, THRESHOLD = 3, 0.8
 PREFIX, PREFIX_FROM = 3, 5
-#: Places of the fixed-size filter that says which words of a text may need counting.
+#: Places of the fixed-size filters that say which words or entities of a text may be wanted.
 FILTER_PLACES = 1 << 20
+#: So many different things a task counts before it sends the counts.
+COUNTED = 100_000
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "._%+-"
@@ -98,20 +104,23 @@ def general(term: str) -> str | None:
     return f"{term[:PREFIX]}*" if len(term) >= PREFIX_FROM else None
 
 
-def _context(text: str, start: int, end: int, spans: list[tuple[str, int, int]]):
-    """The terms around a mention with their places, at most CONTEXT to a side, none inside a base span."""
-    room = 32 * CONTEXT
-    low, high = max(0, start - room), min(len(text), end + room)
-    while low > 0 and low < start and text[low - 1].isalnum():
-        low += 1
-    while high < len(text) and high > end and text[high - 1].isalnum():
-        high -= 1
-    near = [(s, e) for _, s, e in spans if s < high and e > low]
-    left = [m.span() for m in _WORD.finditer(text, low, start)][-CONTEXT:]
-    right = [m.span() for m in _WORD.finditer(text, end, high)][:CONTEXT]
-    for s, e in left + right:
-        if not any(s < b and e > a for a, b in near):
-            yield text[s:e].lower(), s, e
+def term_places(text: str, spans: list[tuple[str, int, int]], wanted=lambda word: True):
+    """(term, start, end) of the words that `wanted` has, lower-cased, and that no base span touches."""
+    ends: list[int] = []  # of the spans, overlapping ones joined
+    starts: list[int] = []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    for match in _WORD.finditer(text):
+        term = match[0].lower()
+        if wanted(term):
+            start, end = match.span()
+            after = bisect_right(ends, start)  # the first that ends behind the word's start
+            if after == len(ends) or starts[after] >= end:
+                yield term, start, end
 
 
 def listed(spans) -> str:
@@ -124,58 +133,98 @@ def _key(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def base(rows: DataFrame) -> DataFrame:
-    """key, sum, counts, base_sha256, base spans and the context terms of each row (key, text, sum)."""
+    """key, sum, counts, base_sha256, base spans and the entities of each row (key, text, sum)."""
     kind = rows.schema["key"].dataType.simpleString()
-    mention = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
         for batch in slices(batches, "text"):
-            found, met = [], []
-            for text in texts(batch):
-                spans = base_spans(text)
-                found.append(spans)
-                met.append([(entity(k, text[s:e]), *x) for k, s, e in spans for x in _context(text, s, e, spans)])
+            found = [base_spans(text) for text in texts(batch)]
             counts = [Counter(k for k, _, _ in spans) for spans in found]
             names = [listed(spans) for spans in found]
-            rows = [[dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in m] for m in met]
             columns = [
                 batch.column("key"), batch.column("sum"), *(pa.array([c[k] for c in counts], pa.int64()) for k in KINDS),
-                pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names]), pa.array(names), pa.array(rows, pa.list_(mention)),
+                pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names]), pa.array(names),
                 pa.array([sorted({entity(k, t[s:e]) for k, s, e in f}) for t, f in zip(texts(batch), found, strict=True)], pa.list_(pa.string())),
             ]
-            names = ["key", "sum", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "mentions", "entities"]
+            names = ["key", "sum", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "entities"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
-    mentions = "array<struct<entity:string,term:string,start:bigint,end:bigint>>"
-    schema = f"key {kind}, sum bigint, {counts}, base_sha256 string, base string, mentions {mentions}, entities array<string>"
+    schema = f"key {kind}, sum bigint, {counts}, base_sha256 string, base string, entities array<string>"
     return arrow_map(rows, run, schema)
 
 
+def _filter(names: DataFrame, column: str):
+    """A broadcast filter of the values: a bit for each place of a hashed table, FILTER_PLACES in all."""
+    places = names.select(F.pmod(F.crc32(F.encode(column, "UTF-8")), F.lit(FILTER_PLACES)).cast("int").alias("place")).distinct()
+    wanted = np.zeros(FILTER_PLACES, bool)
+    wanted[[r[0] for r in places.collect()]] = True
+    return names.sparkSession.sparkContext.broadcast(np.packbits(wanted).tobytes())
+
+
+def _marks(shared):
+    """Whether a filter may have a value."""
+    marks = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+    return lambda value: bool(marks[zlib.crc32(value.encode()) % FILTER_PLACES])
+
+
+def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """entity, term, both: in how many rows (text) each of `entities` meets each term, prefixes as `abc*`.
+
+    Only rows that may hold one of `entities` are taken apart.  Tasks send sums; entities that share a
+    place of the filter by chance come too.
+    """
+    shared = _filter(entities, "entity")
+
+    def run(batches):
+        known = functools.lru_cache(maxsize=200_000)(_marks(shared))
+        counts: Counter[tuple[str, str]] = Counter()
+        for batch in slices(batches, "text"):
+            for text in texts(batch):
+                spans = base_spans(text)
+                own = {e for e in (entity(k, text[s:e]) for k, s, e in spans) if known(e)}
+                if not own:
+                    continue
+                terms = {t for t, _, _ in term_places(text, spans)}
+                terms |= {g for g in map(general, terms) if g}
+                for name in own:
+                    counts.update(zip(repeat(name), terms))
+                    if len(counts) > COUNTED:
+                        yield _counted_pairs(counts)
+                        counts = Counter()
+        yield _counted_pairs(counts)
+
+    sums = arrow_map(rows.select("text"), run, "entity string, term string, both bigint")
+    return sums.groupBy("entity", "term").agg(F.sum("both").alias("both"))
+
+
+def _counted_pairs(counts: Counter[tuple[str, str]]) -> pa.RecordBatch:
+    columns = [pa.array([p[k] for p in counts], pa.string()) for k in range(2)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], ["entity", "term", "both"])
+
+
 def document_counts(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """term, docs: in how many rows (text) each of `terms` occurs, prefixes as `abc*`.
 
-    A bit for each place of a hashed table, FILTER_PLACES in all, tells a task which words to count;
-    tasks send sums, never words by document.  Words that share a place by chance are counted in vain.
+    A filter tells a task which words to count; tasks send sums, never words by document.  Words that
+    share a place of it by chance are counted in vain.
     """
-    places = terms.select(F.pmod(F.crc32(F.encode("term", "UTF-8")), F.lit(FILTER_PLACES)).cast("int").alias("place")).distinct()
-    wanted = np.zeros(FILTER_PLACES, bool)
-    wanted[[r[0] for r in places.collect()]] = True
-    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted).tobytes())
+    shared = _filter(terms, "term")
 
     def run(batches):
-        marks = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        known = _marks(shared)
 
         @functools.lru_cache(maxsize=200_000)
         def forms(word: str) -> tuple[str, ...]:
+            word = word.lower()  # each by itself: lower-casing may add characters that end a word
             both = (word, general(word)) if len(word) >= PREFIX_FROM else (word,)
-            return tuple(f for f in both if marks[zlib.crc32(f.encode()) % FILTER_PLACES])
+            return tuple(f for f in both if known(f))
 
         counts: Counter[str] = Counter()
         for batch in slices(batches, "text"):
             for text in texts(batch):
-                counts.update({f for w in set(_WORD.findall(text.lower())) for f in forms(w)})
-            if len(counts) > 100_000:
+                counts.update({f for w in set(_WORD.findall(text)) for f in forms(w)})
+            if len(counts) > COUNTED:
                 yield _counted(counts)
                 counts = Counter()
         yield _counted(counts)
@@ -190,30 +239,16 @@ def _counted(counts: Counter[str]) -> pa.RecordBatch:
 
 def disclosing(found: DataFrame, rows: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term, disclosure, action of the pairs beyond the threshold; `found` as `base` gives it."""
-    # A pair counts once for each document, so pairs are made distinct inside the row.
-    pairs = found.select(
-        F.explode(
-            F.array_distinct(
-                F.flatten(
-                    F.transform(
-                        "mentions",
-                        lambda m: F.array(
-                            F.struct(m["entity"].alias("entity"), m["term"].alias("term")),
-                            F.struct(m["entity"].alias("entity"), _prefix(m["term"]).alias("term")),
-                        ),
-                    )
-                )
-            )
-        ).alias("p")
-    ).select("p.entity", "p.term").filter("term is not null")
-    pairs = stored(pairs.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support), "pii-pairs")
+    total = found.count()
     entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    # An entity of fewer documents than `support` meets no term that often; one of all documents says nothing.
+    entities = stored(entities.filter((F.col("entity_docs") >= support) & (F.col("entity_docs") < total)), "pii-entities")
+    pairs = stored(pair_counts(rows, entities).filter(F.col("both") >= support), "pii-pairs")
     terms = document_counts(rows, pairs.select("term"))
-    total = found.count()
     scored = pairs.join(terms, "term").join(entities, "entity").withColumn(
         "disclosure",
         F.log(total * F.col("both") / (F.col("entity_docs") * F.col("docs"))) / F.log(total / F.col("entity_docs")),
-    ).filter(F.col("entity_docs") < total)
+    )
     scored = stored(scored, "pii-scores")
     over = scored.filter((F.col("disclosure") >= threshold) & ~F.endswith("term", F.lit("*")))
     prefixes = scored.select("entity", F.col("term").alias("prefix"), F.col("disclosure").alias("of_prefix"))
@@ -236,18 +271,44 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", **limits
     return _found(rows, **limits).withColumnRenamed("key", key).drop("sum")
 
 
+def occurrences(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """key, sum, term, places (start, end) of each row's words that may be among `terms`, outside base spans."""
+    shared = _filter(terms, "term")
+    kind = rows.schema["key"].dataType.simpleString()
+    place = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+
+    def run(batches):
+        known = _marks(shared)
+        wanted = functools.lru_cache(maxsize=200_000)(lambda word: known(word.lower()))
+        for batch in slices(batches, "text"):
+            made: list[tuple[int, str, list[dict]]] = []
+            for row, text in enumerate(texts(batch)):
+                if any(map(wanted, set(_WORD.findall(text)))):
+                    met: dict[str, list[dict]] = {}
+                    for term, start, end in term_places(text, base_spans(text), wanted):
+                        met.setdefault(term, []).append({"start": start, "end": end})
+                    made += [(row, term, own) for term, own in met.items()]
+            own = pa.array([m[0] for m in made], pa.int64())
+            columns = [batch.column("key").take(own), batch.column("sum").take(own), pa.array([m[1] for m in made], pa.string())]
+            columns.append(pa.array([m[2] for m in made], pa.list_(place)))
+            yield pa.RecordBatch.from_arrays(columns, ["key", "sum", "term", "places"])
+
+    return arrow_map(rows, run, f"key {kind}, sum bigint, term string, places array<struct<start:bigint,end:bigint>>")
+
+
 def _found(rows: DataFrame, **limits) -> DataFrame:
     found = stored(base(rows), "pii-base")
     pairs = disclosing(found, rows, **limits)
-    met = found.select("key", "sum", F.explode("mentions").alias("m")).select("key", "sum", "m.*")
-    hits = met.join(pairs.select("entity", "term", "action"), ["entity", "term"])
-    # One place may lie near several entities; removing it outweighs generalising it.
-    hits = hits.groupBy("key", "sum", "start", "end").agg(F.max("action").alias("action"))
+    # A term may disclose several entities; removing it outweighs generalising it.
+    terms = stored(pairs.groupBy("term").agg(F.max("action").alias("action")), "pii-disclosing")
+    hits = occurrences(rows, terms).join(terms, "term")
+    own = F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.col("action").alias("action")))
+    # Rows alike in key and text are reduced to one set of places before the shuffle.
     spans = hits.groupBy(F.col("key").alias("k"), F.col("sum").alias("s")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("term_spans")
+        F.sort_array(F.flatten(F.collect_set(own))).alias("term_spans")
     )
     both = F.col("key").eqNullSafe(F.col("k")) & F.col("sum").eqNullSafe(F.col("s"))
-    joined = found.drop("mentions", "entities").join(spans, both, "left")
+    joined = found.drop("entities").join(spans, both, "left")
     empty = F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")
     joined = joined.withColumn("term_spans", F.coalesce("term_spans", empty))
     names = F.transform("term_spans", lambda t: F.concat_ws(":", F.lit("term"), t["start"].cast("string"), t["end"].cast("string")))

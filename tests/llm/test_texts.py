@@ -145,6 +145,53 @@ def test_terms_that_give_away(spark):
     assert sum(r.text is None for r in clean.collect()) == sum(r[1] is None for r in rows)
 
 
+def plain_terms(rows, support=3, threshold=0.8):
+    """The term spans of each row, from all pairs of words and entities of a document."""
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    spans, entities, words, docs = [], [], [], []
+    for text in (r[1] or "" for r in rows):
+        base = plain_base(text)
+        found = [(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W_]+", text)]
+        entities.append({f"{k}:{text[s:e].lower() if k in ('email', 'ip') else digits(text[s:e])}" for k, s, e in base})
+        spans.append([w for w in found if all(w[2] <= s or w[1] >= e for _, s, e in base)])
+        forms = lambda own: {w for w, *_ in own} | {f"{w[:3]}*" for w, *_ in own if len(w) >= 5}
+        words.append(forms(spans[-1]))
+        docs.append(forms(found))
+    actions, total = {}, len(rows)
+
+    def disclosure(name, term):
+        both = sum(name in e and term in w for e, w in zip(entities, words, strict=True))
+        own, all_ = sum(name in e for e in entities), sum(term in d for d in docs)
+        return math.log(total * both / (own * all_)) / math.log(total / own) if both >= support and own < total else -1
+
+    for name in set().union(*entities):
+        for term in set().union(*(w for e, w in zip(entities, words, strict=True) if name in e)):
+            if not term.endswith("*") and disclosure(name, term) >= threshold:
+                general = len(term) >= 5 and disclosure(name, f"{term[:3]}*") < threshold
+                actions.setdefault(term, set()).add("generalised" if general else "removed")
+    return [[(s, e, max(actions[w])) for w, s, e in own if w in actions] for own in spans]
+
+
+def test_terms_anywhere(spark):
+    """Terms far from the entity, beyond 256 characters, in texts without it, and in runs without spaces."""
+    filler = cases.prose(3, 60)
+    far = "x" * 300
+    extra = [f"quilloMium {filler[k]} {'la ' * 12}{far} chief@corp.example.org {far} {'la ' * 9} " + "日本語" * 100 for k in range(4)]
+    extra += [f"{filler[k]} quillomium and Quillomium." for k in range(4, 5)]
+    extra += [f"{filler[k]} quills {'' if k % 3 else 'quillotine'} la {far} {'日本語' * (k % 2)}" for k in range(5, 60)]
+    extra += ["to +49 30 1234567 vexing", "vexing +49301234567", "İvexing +49 (30) 1234567 vexing a@vexing.org", "ask vexing", "İvexing"]
+    rows = cases.rows(extra)
+    expected = plain_terms(rows)
+    texts = [r[1] or "" for r in rows]
+    found = [{(t[s:e].lower(), a) for s, e, a in own} for t, own in zip(texts, expected, strict=True)]
+    assert sum(("quillomium", "generalised") in f for f in found) == 5 and sum(("日本語" * 100, "removed") in f for f in found) == 4
+    assert sum("vexing" in dict(f) for f in found) == 4
+    frame = cases.documents(spark, extra, clashing=True)
+    got = [(r.doc_id, [tuple(t) for t in r.term_spans]) for r in pii.find(frame).collect()]
+    assert sorted(got, key=repr) == sorted(((r[0], e) for r, e in zip(rows, expected, strict=True)), key=repr)
+    assert not any(re.search("quillomium|vexing\\b", (r.text or "").replace("İvexing", "").lower()) for r in pii.sanitise(frame).collect())
+
+
 def test_redact():
     assert pii.redact("to a@b.cd now", [("email", 3, 9)]) == "to [EMAIL] now"
     assert pii.redact("abcdef 12", [("ip", 7, 9), ("removed", 0, 6)]) == "[TERM] [IP]"
