@@ -30,7 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import arrow_map, fresh, slices, stored
@@ -51,6 +51,7 @@ BLOCK_BYTES = 4 << 20
 #: Parts, by their leading bits, in which a partition's signatures are grouped.
 MEET_PARTS = 16
 
+_SPACES = " \t\n\x0b\x0c\r"
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SIGN_BITS = 47
@@ -240,7 +241,7 @@ def _distinct_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np
 
 
 _BLOCKS = "place int, kind string, first binary, second binary, third binary, fourth binary"
-_FOUND = "kind string, a bigint, b bigint, n bigint, sketch binary"
+_FOUND = "kind string, a bigint, b bigint, n bigint, sketch binary, sum bigint"
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -278,13 +279,13 @@ def _blocks(batches, count: int) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s in sets], np.int64)
         sketches = np.array([sketch(s) for s in sets] + [None], object)[:-1]  # of differing lengths
         known = np.asarray(ids.is_valid())
-        keys = np.asarray(ids.fill_null(0), np.int64)
+        keys, sums = np.asarray(ids.fill_null(0), np.int64), np.asarray(batch.column("sum"), np.int64)
         place = _spread(keys.view(np.uint64) + nodes.view(np.uint64), count)
         rows = []
         for kind, own in (("document", known), ("nameless", ~known)):
-            for p, (k, n, size, sketched) in _runs(place[own], count, keys[own], nodes[own], sizes[own], sketches[own]):
+            for p, (k, n, size, sketched, texts) in _runs(place[own], count, keys[own], nodes[own], sizes[own], sketches[own], sums[own]):
                 lengths = np.array([len(x) for x in sketched], np.int64)
-                rows.append((p, kind, k.tobytes(), n.tobytes(), np.stack((size, lengths)).tobytes(), b"".join(sketched)))
+                rows.append((p, kind, k.tobytes(), n.tobytes(), np.stack((size, lengths, texts)).tobytes(), b"".join(sketched)))
         _, firsts = np.unique(nodes, return_index=True)
         made = [(signatures(sets[k]), nodes[k]) for k in firsts if sizes[k]]
         del sets
@@ -323,11 +324,12 @@ def _unpacked(first: pa.Buffer, second: pa.Buffer, third: pa.Buffer, fourth: pa.
     return marks & _SIGN, np.frombuffer(fourth, np.int64)[named], (marks >> np.uint64(_SIGN_BITS)).astype(bool)
 
 
-def _table(kind: str, a, b: np.ndarray, n: np.ndarray | None = None, sketches: list[bytes] | None = None) -> pa.RecordBatch:
+def _table(kind: str, a, b: np.ndarray, n: np.ndarray | None = None, sketches: list[bytes] | None = None, sums: np.ndarray | None = None) -> pa.RecordBatch:
     columns = [pa.array([kind] * len(b), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
     columns.append(pa.nulls(len(b), pa.int64()) if n is None else pa.array(n, pa.int64()))
     columns.append(pa.nulls(len(b), pa.binary()) if sketches is None else pa.array(sketches, pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, ["kind", "a", "b", "n", "sketch"])
+    columns.append(pa.nulls(len(b), pa.int64()) if sums is None else pa.array(sums, pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, ["kind", "a", "b", "n", "sketch", "sum"])
 
 
 def _meet(batches) -> Iterator[pa.RecordBatch]:
@@ -352,10 +354,10 @@ def _meet(batches) -> Iterator[pa.RecordBatch]:
                 pairs.append((a, b))
             else:
                 named = a if kind == "document" else pa.nulls(len(a), pa.int64())
-                sizes, lengths = np.frombuffer(parts[2], np.int64).reshape(2, -1)
+                sizes, lengths, sums = np.frombuffer(parts[2], np.int64).reshape(3, -1)
                 ends = np.cumsum(lengths).tolist()
                 sketches = [parts[3][e - n : e].to_pybytes() for e, n in zip(ends, lengths.tolist(), strict=True)]
-                yield _table("document", named, b, sizes, sketches)
+                yield _table("document", named, b, sizes, sketches, sums)
     while signatures:
         part = signatures.pop()
         if not part:
@@ -516,14 +518,15 @@ def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
-def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, component_id (the smallest id that links reach) of each row."""
+def _labelled(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """key, node, n, sum (a hash of the text), label (the smallest node of the component) of each row."""
     spark = documents.sparkSession
     rows = documents.select(documents[key].cast("bigint").alias("key"), documents[text].cast("string").alias("text"))
+    rows = rows.withColumn("sum", F.xxhash64("text"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = arrow_map(rows, lambda b: _blocks(b, 2 * count), _BLOCKS)
     found = stored(arrow_map(blocks.repartition(count, "place"), _meet, _FOUND), "signature-groups")
-    known = found.filter("kind = 'document'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n"), "sketch")
+    known = found.filter("kind = 'document'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n"), "sketch", "sum")
     nodes = known.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes, "nodes")
     pairs = stored(_possible(found.filter("kind = 'pair'").select("a", "b").distinct(), nodes), "pairs")
@@ -535,7 +538,12 @@ def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         unseen = _ends(more).join(texts, "node", "left_anti")
         texts = texts.unionByName(_node_texts(rows, nodes, unseen))
         labels = components(links.unionByName(_linked(more, texts)))
-    labelled = known.drop("sketch").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return known.drop("sketch").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_shingles, component_id (the smallest id that links reach) of each row."""
+    labelled = _labelled(documents, key, text)
     names = labelled.filter("n > 0").groupBy("label").agg(F.min("key").alias("component_id"))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
     return labelled.join(names, "label", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
@@ -544,11 +552,16 @@ def link(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, the one with the smallest id, with all columns; ties by hash of the text.
 
-    Rows without words are linked with nothing and stay; so do rows without an id.
+    A row is known by its id and the hash of its text, so rows with one id and texts that are not linked
+    all stay.  Rows without words are linked with nothing and stay; so do rows without an id.
     """
     name, number = fresh(documents, "first_key"), fresh(documents, "number")
-    firsts = link(documents, key, text).filter(F.col("component_id") == F.col(key)).select(F.col(key).alias(name)).distinct()
-    kept = documents.join(firsts, documents[key] == F.col(name))
-    order = Window.partitionBy(name).orderBy(F.xxhash64(text))
-    kept = kept.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).select(*documents.columns)
-    return kept.unionByName(documents.filter(documents[key].isNull()))
+    named = _labelled(documents, key, text).filter("n > 0 and key is not null")
+    firsts = named.groupBy("label").agg(F.min(F.struct("key", "sum")).alias("least"))
+    firsts = firsts.select(F.col("least.key").alias(name), F.col("least.sum").alias(number))
+    value = documents[text].cast("string")
+    own = documents.withColumns({name: documents[key].cast("bigint"), number: F.xxhash64(value)})
+    linked = documents[key].isNotNull() & (F.translate(F.coalesce(value, F.lit("")), _SPACES, "") != "")
+    # Tasks reduce copies of one id and text to one row before the shuffle.
+    kept = own.filter(linked).dropDuplicates([name, number]).join(firsts, [name, number], "left_semi")
+    return kept.select(*documents.columns).unionByName(documents.filter(~linked))

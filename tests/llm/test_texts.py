@@ -260,6 +260,16 @@ def test_link(spark, seed, bases, copies, edits):
     assert sum(r.doc_id is None for r in kept.collect()) == 2
 
 
+def test_one_id_on_different_texts(spark):
+    """Rows are dropped only within their own component; rows without words stay, each of them."""
+    prose = [t for t in cases.prose(11, 60) if len(t.split()) > 40][:12]
+    rows = [(7, t) for t in prose] + [(7, prose[0]), (3, f"{prose[1]} tail"), (9, f"{prose[2]} tail"), (7, " \x0b\n"), (7, " \x0b\n"), (7, None)]
+    frame = spark.createDataFrame([(k, t, "z") for k, t in rows], "doc_id bigint, text string, number string").repartition(3)
+    kept = [t for t in prose if t != prose[1]]
+    expected = [(7, t, "z") for t in kept] + [(3, f"{prose[1]} tail", "z"), (7, " \x0b\n", "z"), (7, " \x0b\n", "z"), (7, None, "z")]
+    cases.same(jaccard.keep_first(frame), expected)
+
+
 def test_every_near_pair_shares_a_signature():
     chance = np.random.default_rng(6)
     tested = 0
