@@ -1,11 +1,11 @@
-"""The ten operators over the test tables, with the parameters they are meant to run with."""
+"""The operators over the test tables, with the parameters they are meant to run with."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import ann, bpe, decontaminate, jaccard, pii, quality, token_counts, urls, warc, wavelet
+from ledgerlink.llm import ann, bpe, decontaminate, jaccard, pii, quality, sharding, token_counts, urls, warc, wavelet
 from ledgerlink.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,7 @@ URL_RULES = [
     urls.Rule("allow", "org", "/fr/"),
 ]
 GRADES, LEAST_GRADE = 3, 2
+SHARDS = 24
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
 
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(table(spark, sf_dir, "documents"), SHARDS)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_quality, op3_nearest, op4_bpe, op5_urls, op6_warc, op7_decontaminate, op8_token_counts, op9_wavelet, op10_jaccard,
+    op13_shards,
 )}
