@@ -3,8 +3,8 @@
 A word's symbols form a doubly linked list.  A heap holds the rank and place of every adjacent pair
 that some merge rule joins; the lowest rank, then the leftmost place, is joined first, and entries
 whose symbols have changed since are skipped.  A word of n bytes takes O(n log n) steps, so one very
-long word is no trouble.  Distinct words are remembered, up to a bound.  Decoding concatenates the
-vocabulary's strings.
+long word is no trouble.  Distinct words of up to 48 characters are remembered, up to a bound.  Decoding
+concatenates the vocabulary's strings.
 
 Every row gives one row.  A null text counts as empty: 0 tokens.  Equal rows give equal results.
 """
@@ -20,33 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerlink.llm.common import arrow_map, slices, texts
-from ledgerlink.llm.words import SpecialTokens
-
-#: Words that are remembered at most, and the longest of them in characters.
-REMEMBERED, REMEMBERED_LENGTH = 300_000, 40
-
-
-def _byte_characters() -> dict[str, int]:
-    """The printable stand-in that byte-level vocabularies write for each byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
-class _Words(dict):
-    """Ids of words, made on first use."""
-
-    def __init__(self, make) -> None:
-        super().__init__()
-        self._make = make
-
-    def __missing__(self, word: str) -> bytes:
-        made = self._make(word)
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = made
-        return made
+from ledgerlink.llm.words import Memory, SpecialTokens, byte_characters
 
 
 class Codec:
@@ -54,7 +28,7 @@ class Codec:
         self._special = SpecialTokens(path)
         model = self._special.spec["model"]
         vocabulary = model["vocab"]
-        characters = _byte_characters()
+        characters = byte_characters()
         self.strings: list[bytes] = [b""] * (1 + max([*vocabulary.values(), *self._special.ids.values()]))
         for token, token_id in vocabulary.items():
             self.strings[token_id] = bytes(characters[c] for c in token)
@@ -65,7 +39,7 @@ class Codec:
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self._merges[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
-        self._words = _Words(self._encode_word)
+        self._words = Memory(self._encode_word)
 
     def _encode_word(self, word: str) -> bytes:
         if word in self._special.ids:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.llm import ann, bpe, decontaminate, jaccard, pii, quality, ranking, sharding, token_counts, urls, warc, wavelet
+from ledgerlink.llm import alignment, ann, bpe, decontaminate, jaccard, pii, quality, ranking, sharding, token_counts, urls, warc, wavelet
 from ledgerlink.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),
@@ -64,11 +65,15 @@ def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
 def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"), SHARDS)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_quality, op3_nearest, op4_bpe, op5_urls, op6_warc, op7_decontaminate, op8_token_counts, op9_wavelet, op10_jaccard,
-    op11_ranking, op13_shards,
+    op11_ranking, op12_alignment, op13_shards,
 )}

@@ -21,4 +21,33 @@ with parts as (
 )
 select s.page_id, s.host, s.path, b.hit.name as rule, coalesce(b.hit.action, 'allow') as verdict
 from split s left join best b on s.page_id = b.page_id and s.host = b.host and s.path = b.path""",
+    "op11_ranking": r"""
+with words as (
+  select r, key, kind, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (
+    select row_number() over () as r, doc_id as key, 'document' as kind, text from documents
+    union all
+    select row_number() over () as r, item_id as key, 'item' as kind, text from benchmark
+  ) as whole
+), counted as (
+  select kind, r, key, term, count(*) as times from words group by kind, r, key, term
+), held as (
+  select * from counted where kind = 'document'
+), sizes as (
+  select r, sum(times)::bigint as n from held group by r
+), corpus as (
+  select count(*) as docs, sum(n)::bigint as length from sizes
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as weight
+  from held, corpus group by term
+), scores as (
+  select i.r, i.key as item_id, d.r as doc, d.key as doc_id,
+    sum(i.times * weight * ((1000000000 * d.times) // (1000 * d.times + 8 * (100 - 75 + (75 * n * docs) // length))))::bigint as score
+  from counted i join held d on i.term = d.term and i.kind = 'item' join weights w on w.term = d.term join sizes s on s.r = d.r, corpus
+  group by i.r, i.key, d.r, d.key
+), ranked as (
+  select *, row_number() over (partition by r order by score desc, doc_id) as rank from scores where score > 0
+)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 10""",
 }

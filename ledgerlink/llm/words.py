@@ -1,11 +1,11 @@
-"""Splitting text before byte-level merges, and encoding by distinct words with the tokenizers library."""
+"""Splitting text before byte-level merges, and encoding by distinct words with the libraries' models."""
 
 from __future__ import annotations
 
 import functools
 import json
-import os
 import re
+import struct
 
 import numpy as np
 import regex
@@ -53,59 +53,127 @@ class SpecialTokens:
         return found
 
 
+class Memory(dict):
+    """Values of words, made on first use; words of the last `keep` to twice `keep` made or asked for stay.
+
+    The memory has two generations.  When the younger is full, it becomes the older, whose words move
+    back when they are asked for; so words in use are never made anew all at once.  Words of more than
+    `longest` characters are not kept.
+    """
+
+    def __init__(self, make, keep: int = 100_000, longest: int = 48) -> None:
+        super().__init__()
+        self._make, self._keep, self._longest, self._older = make, keep, longest, {}
+
+    def __missing__(self, word: str):
+        made = self._older.get(word)
+        if made is None:
+            made = self._make(word)
+        if len(word) <= self._longest:
+            if len(self) >= self._keep:
+                self._older = dict(self)
+                self.clear()
+            self[word] = made
+        return made
+
+
+def byte_characters() -> dict[str, int]:
+    """The printable stand-in that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class WordEncoder:
-    """The tokenizers library applied once to each distinct word; a text's ids are those of its words.
+    """The tokenizers library's merges applied once to each distinct word; a text's ids are those of its words.
 
-    Merges never cross the split, so this equals encoding the whole text.  `keep` words at most stay
-    in memory; then the memory starts anew.
+    Merges never cross the split, so this equals encoding the whole text.  With `special` off, the strings
+    of special tokens are plain text.  `keep` words at least stay in memory, twice as many at most.
     """
 
-    def __init__(self, path: str, widths: bool = False, keep: int = 300_000) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str, widths: bool = False, keep: int = 100_000, special: bool = True) -> None:
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
+        self._model = Tokenizer.from_file(path).model
         self._special = SpecialTokens(path)
-        self._widths = widths
-        self._keep = keep
-        self._known: dict[str, bytes] = {}
-        self._break = self._tokenizer.encode("\n", add_special_tokens=False).ids[0]
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Each word's ids or widths.  Most words go to the library many at a time, between line breaks,
-        which no other word contains or joins with; white space and special strings go by themselves."""
-        alone = [w for w in words if w.isspace() or w in self._special.ids]
-        learned = {w: self._packed(self._tokenizer.encode(w, add_special_tokens=False)).tobytes() for w in alone}
-        together = [w for w in words if w not in learned]
-        runs = [together[k : k + 2000] for k in range(0, len(together), 2000)]
-        encode = self._tokenizer.encode_batch if self._widths else self._tokenizer.encode_batch_fast
-        for run, encoding in zip(runs, encode(["\n".join(r) for r in runs], add_special_tokens=False), strict=True):
-            packed = self._packed(encoding).tobytes()
-            breaks = 4 * np.flatnonzero(np.asarray(encoding.ids) == self._break)
-            starts, ends = [0, *(breaks + 4).tolist()], [*breaks.tolist(), len(packed)]
-            learned.update((w, packed[s:e]) for w, s, e in zip(run, starts, ends, strict=True))
-        return learned
-
-    def _packed(self, encoding) -> np.ndarray:
-        if not self._widths:
-            return np.array(encoding.ids, "<u4")
-        ends = np.array([0, *(end for _, end in encoding.offsets)], np.int64)
-        return np.diff(np.maximum.accumulate(ends)).astype("<u4")
+        self._pieces = self._special.pieces if special else split
+        characters = byte_characters()
+        self._stand_in = {b: c for c, b in characters.items()}
+        size = 1 + max([*self._special.spec["model"]["vocab"].values(), *self._special.ids.values()])
+        #: Bytes of each id.
+        self.lengths = np.zeros(size, np.int64)
+        for token, token_id in self._special.spec["model"]["vocab"].items():
+            self.lengths[token_id] = len(token)
+        for token, token_id in self._special.ids.items():
+            self.lengths[token_id] = len(token.encode())
+        self._words = Memory(self._widths if widths else self._ids, keep)
+
+    def _ids(self, word: str) -> bytes:
+        if word in self._special.ids:
+            return struct.pack("<I", self._special.ids[word])
+        ids = [t.id for t in self._model.tokenize(word.encode().decode("latin-1").translate(self._stand_in))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _widths(self, word: str) -> bytes:
+        """Characters that begin in each token."""
+        lengths = self.lengths[np.frombuffer(self._ids(word), "<u4")]
+        if not word.isascii():
+            begins = (np.frombuffer(word.encode(), np.uint8) & 0xC0) != 0x80
+            lengths = np.diff(np.concatenate(([0], np.cumsum(begins)))[np.cumsum(lengths)], prepend=0)
+        return lengths.astype("<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, or with `widths` the number of characters that each token adds, as uint32."""
-        pieces = [self._special.pieces(t) for t in texts]
-        new = set().union(*pieces).difference(self._known)
-        if len(self._known) + len(new) > self._keep:
-            self._known = {}
-            new = set().union(*pieces)
-        self._known.update(self._learn(list(new)))
-        return [b"".join(map(self._known.__getitem__, p)) for p in pieces]
+        known = self._words.__getitem__
+        return [b"".join(map(known, self._pieces(t))) for t in texts]
 
 
 @functools.lru_cache(maxsize=4)
-def word_encoder(path: str, widths: bool = False) -> WordEncoder:
+def word_encoder(path: str, widths: bool = False, special: bool = True) -> WordEncoder:
+    """One encoder for each Python worker, kept between tasks."""
+    return WordEncoder(path, widths, special=special)
+
+
+class PieceEncoder:
+    """A sentencepiece model applied once to each distinct run of spaces with the word behind it.
+
+    Only for models in which a space never follows another character within a piece, which is checked:
+    then no merge crosses the start of such a run.
+    """
+
+    def __init__(self, path: str, keep: int = 100_000) -> None:
+        from sentencepiece import SentencePieceProcessor
+
+        self._model = model = SentencePieceProcessor(model_file=path)
+        pieces = [model.id_to_piece(k) for k in range(model.get_piece_size())]
+        if any("\u2581" in p.lstrip("\u2581") for p in pieces):
+            raise ValueError("pieces of this model cross the start of a word")
+        self._space = model.piece_to_id("\u2581")
+        self.strings = [
+            bytes([int(p[3:5], 16)]) if model.is_byte(k) else p.replace("\u2581", " ").encode() for k, p in enumerate(pieces)
+        ]
+        self.lengths = np.array([len(s) for s in self.strings], np.int64)
+        self._words = Memory(self._ids, keep)
+
+    def _ids(self, word: str) -> bytes | None:
+        """The ids of a word behind spaces, the first of which the model adds; None if they say something else."""
+        ids = self._model.encode(word[1:], num_threads=1) if len(word) > 1 else [self._space]
+        same = b"".join(map(self.strings.__getitem__, ids)) == word.encode()
+        return struct.pack(f"<{len(ids)}I", *ids) if same else None
+
+    def encode(self, texts: list[str]) -> list[bytes | None]:
+        """For each text its ids as uint32, or None where they do not stand for a space and the text."""
+        known, made = self._words.__getitem__, []
+        for text in texts:
+            ids = [known(w) for w in _WORD.findall(f" {text}")]
+            made.append(None if None in ids else b"".join(ids))
+        return made
+
+
+_WORD = re.compile(" +[^ ]*")
+
+
+@functools.lru_cache(maxsize=2)
+def piece_encoder(path: str) -> PieceEncoder:
     """One encoder for each Python worker, kept between tasks."""
-    return WordEncoder(path, widths)
+    return PieceEncoder(path)
