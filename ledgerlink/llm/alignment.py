@@ -16,7 +16,7 @@ ones too.  Other columns do not matter; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -25,34 +25,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import arrow_map, slices, stored, texts
-from ledgerlink.llm.words import piece_encoder, word_encoder
+from ledgerlink.llm.words import byte_encoder, piece_encoder
 
 #: Pairs of ids whose counts are broadcast at most: 17 bytes each.
 PAIR_ROWS = 1 << 22
 
 
-def _spans(ids: list[bytes], lengths: np.ndarray) -> pd.DataFrame:
+def _spans(ids: list, lengths: np.ndarray) -> pd.DataFrame:
     """The tokens of all documents: id, doc, place, start, end; bytes are counted through the documents."""
-    flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+    sizes = [len(x) for x in ids]
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes)) if isinstance(ids[0], list) else np.concatenate(ids).astype(np.int64)
     ends = np.cumsum(lengths[flat])
-    docs = np.repeat(np.arange(len(ids)), [len(x) // 4 for x in ids])
+    docs = np.repeat(np.arange(len(ids)), sizes)
     return pd.DataFrame({"id": flat, "doc": docs, "place": np.arange(len(flat)), "start": ends - lengths[flat], "end": ends})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """place_a, end_a, place_b, end_b of every pair of tokens that share bytes, in order."""
-    names = ["doc", "place", "start", "end"]
+    """place_a, place_b, end_a, end_b of every pair of tokens that share bytes, in order."""
+    names = ["doc", "place", "start"]
 
-    def covering(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
-        return pd.merge_asof(own[names], other[names], on="start", by="doc", suffixes=("_own", "_other"))
+    def covering(own: pd.DataFrame, other: pd.DataFrame) -> np.ndarray:
+        found = pd.merge_asof(own[names], other[names], on="start", by="doc", suffixes=("_own", "_other"))
+        return found["place_other"].to_numpy(np.int64)
 
-    forth, back = covering(a, b), covering(b, a)
-    back = back[~np.isin(back["start"], a["start"])]  # tokens that start together have met
-    columns = ["place_a", "end_a", "place_b", "end_b"]
-    forth = forth[["place_own", "end_own", "place_other", "end_other"]].set_axis(columns, axis=1)
-    back = back[["place_other", "end_other", "place_own", "end_own"]].set_axis(columns, axis=1)
-    met = pd.concat([forth, back], ignore_index=True).astype(np.int64)
-    return met.iloc[np.argsort((met["place_a"] + met["place_b"]).to_numpy(), kind="stable")]
+    alone = ~np.isin(b["start"].to_numpy(), a["start"].to_numpy())  # tokens that start together have met
+    place_a = np.concatenate((a["place"].to_numpy(), covering(b, a)[alone]))
+    place_b = np.concatenate((covering(a, b), b["place"].to_numpy()[alone]))
+    order = np.argsort(place_a + place_b, kind="stable")
+    place_a, place_b = place_a[order], place_b[order]
+    ends = {"end_a": a["end"].to_numpy()[place_a], "end_b": b["end"].to_numpy()[place_b]}
+    return pd.DataFrame({"place_a": place_a, "place_b": place_b, **ends})
 
 
 class _Writer:
@@ -104,13 +106,13 @@ def align(
     columns = _COUNTS | _PAIRS | (_TOKENS if tokens else {})
 
     def run(batches):
-        first, second = word_encoder(byte_path, special=False), piece_encoder(piece_path)
+        first, second = byte_encoder(byte_path, special=False), piece_encoder(piece_path)
         writer = _Writer(len(first.lengths), len(second.lengths))
         for batch in slices(batches, "text"):
             whole = texts(batch)
             count = len(whole)
             ids_b = second.encode(whole)
-            ids_b = [x if t and x is not None else b"" for t, x in zip(whole, ids_b, strict=True)]
+            ids_b = [x if t and x is not None else [] for t, x in zip(whole, ids_b, strict=True)]
             ids_a = first.encode([f" {t}" if x else "" for t, x in zip(whole, ids_b, strict=True)])
             a, b = _spans(ids_a, first.lengths), _spans(ids_b, second.lengths)
             met = overlaps(a, b)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerlink.llm.common import arrow_map, slices, texts
-from ledgerlink.llm.words import word_encoder
+from ledgerlink.llm.words import byte_encoder
 
 
 def line_bounds(text: str) -> np.ndarray:
@@ -55,12 +55,11 @@ def section_tokens(
     names = ["n_tokens", "n_sections", "n_crossing", "section_tokens"]
 
     def run(batches):
-        encoder = word_encoder(path, widths=True)
+        encoder = byte_encoder(path)
         for batch in slices(batches, "text"):
             whole = texts(batch)
             made = []
-            for value, widths in zip(whole, encoder.encode(whole), strict=True):
-                tokens = np.frombuffer(widths, "<u4")
+            for value, tokens in zip(whole, encoder.widths(whole), strict=True):
                 counts, crossing = attribute(tokens, bounds(value))
                 made.append((len(tokens), len(counts), crossing, counts))
             columns = [pa.array([m[k] for m in made], pa.int64()) for k in range(3)]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import arrow_map, slices, stored, texts
-from ledgerlink.llm.words import word_encoder
+from ledgerlink.llm.words import byte_encoder
 from ledgerlink.sources.store import shared_folder
 
 _HEAD = struct.Struct("<4sQIIIIIII")
@@ -198,23 +198,24 @@ def load(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
 def _shards(batches, path: str, end_id: int, shard_tokens: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    encoder, part = word_encoder(path), TaskContext.get().partitionId()
-    end = np.array([end_id], "<u4").tobytes()
-    keys, ids, filled, made = [], [], 0, 0
+    encoder, part = byte_encoder(path), TaskContext.get().partitionId()
+    end = np.array([end_id], "<u4")
+    keys, lengths, ids, filled, made = [], [], [], 0, 0
 
     def shard():
-        matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"))
-        data = dump(matrix, keys, [len(x) // 4 for x in ids])
+        matrix = WaveletMatrix.build(np.concatenate(ids))
+        data = dump(matrix, keys, lengths)
         return pa.RecordBatch.from_arrays([pa.array([f"{part:08d}-{made:08d}"]), pa.array([data], pa.binary())], ["shard", "data"])
 
     for batch in slices(batches, "text"):
         for key, encoded in zip(batch.column("key").to_pylist(), encoder.encode(texts(batch)), strict=True):
-            if filled and filled + len(encoded) // 4 + 1 > shard_tokens:
+            if filled and filled + len(encoded) + 1 > shard_tokens:
                 yield shard()
-                keys, ids, filled, made = [], [], 0, made + 1
+                keys, lengths, ids, filled, made = [], [], [], 0, made + 1
             keys.append(key)
-            ids.append(encoded + end)
-            filled += len(encoded) // 4 + 1
+            ids += [encoded, end]
+            filled += len(encoded) + 1
+            lengths.append(len(encoded) + 1)
     if filled:
         yield shard()
 

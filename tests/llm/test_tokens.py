@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 from functools import partial
@@ -9,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerlink.llm import bpe, token_counts, wavelet
-from ledgerlink.llm.words import WordEncoder
+from ledgerlink.llm.words import ByteEncoder
 
 from . import cases
 
@@ -32,21 +33,38 @@ def odd_texts():
     return ["".join(chance.choices(parts, k=chance.randint(0, 25))) for _ in range(1500)]
 
 
-def test_codec_and_word_encoder_equal_the_library(library):
-    codec, encoder = bpe.Codec(PATH), WordEncoder(PATH, keep=500)
+def test_codec_and_byte_encoder_equal_the_library(library):
+    codec, encoder = bpe.Codec(PATH), ByteEncoder(PATH)
     texts = odd_texts()
     for start in range(0, len(texts), 50):
         for text, encoded in zip(texts[start : start + 50], encoder.encode(texts[start : start + 50]), strict=True):
             expected = ids(library, text)
-            assert codec.encode(text) == expected == encoded
+            assert codec.encode(text) == expected == encoded.tobytes()
             assert codec.decode(expected) == library.decode(np.frombuffer(expected, "<u4").tolist(), skip_special_tokens=False)
 
 
 def test_split_of_every_character(library):
-    codec = bpe.Codec(PATH)
+    codec, encoder = bpe.Codec(PATH), ByteEncoder(PATH)
     for start in [*range(0, 0xD800, 64), *range(0xE000, 0x20000, 64)]:
         text = " ".join(f"a{chr(c)} {chr(c)}{chr(c)}1" for c in range(start, start + 64))
-        assert codec.encode(text) == ids(library, text), hex(start)
+        assert codec.encode(text) == ids(library, text) == encoder.encode([text])[0].tobytes(), hex(start)
+
+
+def test_long_texts_and_other_files(library, tmp_path):
+    encoder = ByteEncoder(PATH)
+    for size in (encoder.LONG - 1, encoder.LONG + 1):
+        for text in ("ab cé", " ", "^", "\n", "1", "x"):
+            text = (text * size)[: size - 1] + "y"
+            assert encoder.encode([text])[0].tobytes() == ids(library, text)
+    for text in (cases.LONG, cases.LONG * 3):
+        assert encoder.encode([text])[0].tobytes() == ids(library, text)
+    spec = json.loads(library.to_str())
+    spec["model"]["vocab"] = {t: k for t, k in spec["model"]["vocab"].items() if len(t) < 3}
+    spec["model"]["merges"] = [m for m in spec["model"]["merges"] if len("".join(m)) < 3]
+    spec["model"]["vocab"]["xyz"] = 50_000  # nothing makes it
+    (tmp_path / "odd.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        ByteEncoder(str(tmp_path / "odd.json"))
 
 
 @pytest.mark.parametrize("clashing", [False, True])
