@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,11 +23,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_map(frame: DataFrame, function, schema: str) -> DataFrame:
-    """`mapInArrow` whose batches are bounded in bytes as well as in rows, so that long texts fit."""
+    """`mapInArrow` whose batches are bounded in bytes as well as in rows, so that long texts fit.
+
+    The worker gives back what a task has freed when the task ends, as workers stay for other tasks.
+    """
     conf = frame.sparkSession.conf
     if conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:  # a setting of the user's own stays
         conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
-    return frame.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        _give_back()
+
+    return frame.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def partitions_for(frame: DataFrame, size: int) -> int:
+    """Partitions of about `size` bytes of the frame's input as it is stored, and no fewer than the session's."""
+    stored_bytes = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # An unknown size is said to be immense.
+    return max(least, -(-stored_bytes // size)) if stored_bytes < 1 << 60 else least
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
@@ -54,4 +79,4 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
-__all__ = ["arrow_map", "fresh", "slices", "stored", "table", "texts"]
+__all__ = ["arrow_map", "fresh", "partitions_for", "slices", "stored", "table", "texts"]

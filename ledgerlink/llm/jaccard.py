@@ -11,7 +11,8 @@ them also gets the signatures of another partition, and after `PARTITIONS` of th
 so; thus no pair is lost.
 
 Signatures are dealt out in packed blocks.  Tasks unite equal ones before that, so a common signature
-has one entry a block of documents.  Sets that share a signature are compared: all pairs where few share
+has one entry a block of documents.  Partitions grow in number with the input's bytes, and a task holds
+the signatures of a quarter of one at a time.  Sets that share a signature are compared: all pairs where few share
 it, else each with a chosen one; where such a group still falls into several components afterwards, all
 pairs between its components, in cells of bounded size.  A sketch of counts by hash gives a lower limit
 of the difference and rules out most pairs; the rest are compared by the shingles of whole texts.
@@ -33,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import arrow_map, fresh, slices, stored
+from ledgerlink.llm.common import arrow_map, fresh, partitions_for, slices, stored
 from ledgerlink.llm.components import components
 
 SHINGLE, SHARE = 5, 80
-PARTITIONS = 3
+PARTITIONS = 10
 #: So many sets with one signature are compared in all pairs; more, at first with a chosen one.
 SMALL_GROUP = 8
 #: Places of the filter of documents whose texts are compared, a bit each.
@@ -47,16 +48,19 @@ FIRST_SIGNS = 16
 #: Rows of either side of a cell of a large group.
 CELL_ROWS = 2048
 #: Bytes of text whose signatures are united and packed together.
-BLOCK_BYTES = 4 << 20
-#: Parts, by their leading bits, in which a partition's signatures are grouped.
-MEET_PARTS = 16
+BLOCK_BYTES = 8 << 20
+#: Places that a partition's signatures are dealt to; a task holds one place at a time.
+PLACES = 4
+#: Bytes of the input, as it is stored, for one partition of signatures.
+PARTITION_BYTES = 8 << 20
+#: Words whose hashes a worker remembers, about 8 MB.
+REMEMBERED = 50_000
 
 _SPACES = " \t\n\x0b\x0c\r"
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SIGN_BITS = 47
 _SIGN = np.uint64((1 << _SIGN_BITS) - 1)
-_PART_SHIFT = np.uint64(_SIGN_BITS - (MEET_PARTS.bit_length() - 1))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -68,7 +72,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -333,44 +337,57 @@ def _table(kind: str, a, b: np.ndarray, n: np.ndarray | None = None, sketches: l
 
 
 def _meet(batches) -> Iterator[pa.RecordBatch]:
-    """What the blocks of a partition hold together: documents, pairs to compare and members of open groups.
+    """What the blocks hold together, place by place: documents, pairs to compare and members of open groups.
 
-    Signatures are grouped in MEET_PARTS parts one after the other, which bounds what sorting takes.
+    Blocks come in order of place, so no more than the signatures of one place are held.
     """
-    signatures, pairs = [[] for _ in range(MEET_PARTS)], []
+    place, held = None, _Place()
     for batch in batches:
-        for row in range(batch.num_rows):
+        for row, own in enumerate(batch.column("place").to_pylist()):
+            if own != place:
+                yield from held.tables()
+                place, held = own, _Place()
             kind = batch.column("kind")[row].as_py()
             parts = [x.as_buffer() for x in (batch.column(k)[row] for k in range(2, 6)) if x.is_valid]
             if kind == "signature":
-                signs, nodes, several = _unpacked(*parts)
-                for part, own in _runs((signs >> _PART_SHIFT).astype(np.int64), MEET_PARTS, signs, nodes, several):
-                    signatures[part].append(own)
+                held.signatures.append(_unpacked(*parts))
                 continue
             a, b = (np.frombuffer(x, np.int64).copy() for x in parts[:2])
             if kind == "member":
                 yield _table(kind, a, b)
             elif kind == "pair":
-                pairs.append((a, b))
+                held.pairs.append((a, b))
             else:
                 named = a if kind == "document" else pa.nulls(len(a), pa.int64())
                 sizes, lengths, sums = np.frombuffer(parts[2], np.int64).reshape(3, -1)
                 ends = np.cumsum(lengths).tolist()
                 sketches = [parts[3][e - n : e].to_pybytes() for e, n in zip(ends, lengths.tolist(), strict=True)]
                 yield _table("document", named, b, sizes, sketches, sums)
-    while signatures:
-        part = signatures.pop()
-        if not part:
-            continue
-        signs, nodes, starts, runs, several = _groups(*(np.concatenate(c) for c in zip(*part, strict=True)))
-        del part
-        chosen = _chosen(signs, nodes, starts, runs)
-        pairs.append(_distinct_pairs(*_pairs(nodes, starts, runs, chosen)))
-        unfinished = (runs > SMALL_GROUP) | ((runs > 1) & np.logical_or.reduceat(several, starts))
-        members = np.flatnonzero(np.repeat(unfinished, runs))
-        yield _table("member", signs[members].view(np.int64), nodes[members])
-    if pairs:
-        yield _table("pair", *_distinct_pairs(*(np.concatenate(c) for c in zip(*pairs, strict=True))))
+    yield from held.tables()
+
+
+class _Place:
+    """Signatures and pairs of one place."""
+
+    def __init__(self) -> None:
+        self.signatures: list[tuple] = []
+        self.pairs: list[tuple] = []
+
+    def tables(self) -> Iterator[pa.RecordBatch]:
+        if self.signatures:
+            signs, nodes, several = (np.concatenate(c) for c in zip(*self.signatures, strict=True))
+            self.signatures = []
+            signs, nodes, starts, runs, several = _groups(signs, nodes, several)
+            chosen = _chosen(signs, nodes, starts, runs)
+            self.pairs.append(_pairs(nodes, starts, runs, chosen))
+            unfinished = (runs > SMALL_GROUP) | ((runs > 1) & np.logical_or.reduceat(several, starts))
+            members = np.flatnonzero(np.repeat(unfinished, runs))
+            if len(members):
+                yield _table("member", signs[members].view(np.int64), nodes[members])
+        if self.pairs:
+            left, right = _distinct_pairs(*(np.concatenate(c) for c in zip(*self.pairs, strict=True)))
+            if len(left):
+                yield _table("pair", left, right)
 
 
 # --- comparing ---------------------------------------------------------------------------------------
@@ -520,12 +537,12 @@ def _possible_in(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def _labelled(documents: DataFrame, key: str, text: str) -> DataFrame:
     """key, node, n, sum (a hash of the text), label (the smallest node of the component) of each row."""
-    spark = documents.sparkSession
     rows = documents.select(documents[key].cast("bigint").alias("key"), documents[text].cast("string").alias("text"))
     rows = rows.withColumn("sum", F.xxhash64("text"))
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = arrow_map(rows, lambda b: _blocks(b, 2 * count), _BLOCKS)
-    found = stored(arrow_map(blocks.repartition(count, "place"), _meet, _FOUND), "signature-groups")
+    count = partitions_for(documents, PARTITION_BYTES)
+    blocks = arrow_map(rows, lambda b: _blocks(b, PLACES * count), _BLOCKS)
+    placed = blocks.repartition(count, "place").sortWithinPartitions("place")
+    found = stored(arrow_map(placed, _meet, _FOUND), "signature-groups")
     known = found.filter("kind = 'document'").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("n"), "sketch", "sum")
     nodes = known.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes, "nodes")
