@@ -2,7 +2,8 @@
 
 Bit-parallel recurrence over whole Arrow batches: with V all ones and M[c] the positions of c in
 the shorter text, each character c of the longer one does U = V & M[c], V = (V + U) | (V - U);
-the zeros left in V count the subsequence.  One numpy step advances every pair of the batch.
+the zeros left in V count the subsequence.  One numpy step advances every pair of the batch.  Patterns
+beyond 64 characters take several words, with the carry of the addition handed from one to the next.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql.types import IntegerType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _WORD = 64
+#: Words of a pattern at most; beyond, one long integer takes many characters a step, even for one pair.
+_MOST_WORDS = 8
 _CELLS = 1 << 19  # characters held at once
 
 
@@ -39,7 +42,8 @@ def _code_matrix(texts: pa.Array, sizes: np.ndarray) -> np.ndarray:
 
 
 def _word_kernel(pattern: np.ndarray, sizes: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Bit-parallel LCS of many pairs at once; patterns fit one 64-bit word."""
+    """Bit-parallel LCS of many pairs at once."""
+    words = -(-len(pattern) // _WORD)
     # Dense symbol numbers keep the mask table as narrow as the alphabet in use; 0 is the padding.
     used_codes = np.bincount(other.ravel()) > 0
     used_codes[0] = False
@@ -50,21 +54,34 @@ def _word_kernel(pattern: np.ndarray, sizes: np.ndarray, other: np.ndarray) -> n
     pattern_cells = numbers[pattern] + row_start
     other_cells = numbers[other] + row_start
 
-    masks = np.zeros(len(row_start) * width, dtype=np.uint64)
+    masks = np.zeros((words, len(row_start) * width), dtype=np.uint64)
     for position, cells in enumerate(pattern_cells):
-        masks[cells] |= np.uint64(1 << position)
-    masks[row_start] = 0
+        masks[position // _WORD][cells] |= np.uint64(1 << position % _WORD)
+    masks[:, row_start] = 0
 
-    state = np.full(len(row_start), np.iinfo(np.uint64).max, dtype=np.uint64)
+    state = np.full((words, len(row_start)), np.iinfo(np.uint64).max, dtype=np.uint64)
     for cells in other_cells:
-        hit = state & masks.take(cells)
-        state = (state + hit) | (state - hit)
-    used = np.where(
-        sizes >= _WORD,
-        np.iinfo(np.uint64).max,
-        (np.uint64(1) << np.minimum(sizes, _WORD - 1).astype(np.uint64)) - np.uint64(1),
-    )
-    return np.bitwise_count(~state & used).astype(np.int64)
+        carry = None
+        for word in range(words):
+            before = state[word]
+            hit = before & masks[word].take(cells)
+            total = before + hit
+            over = total < before
+            if carry is not None:
+                total += carry
+                over |= total < carry
+            state[word] = total | (before - hit)
+            carry = over.astype(np.uint64) if word + 1 < words else None
+    found = np.zeros(len(row_start), np.int64)
+    for word in range(words):
+        inside = np.clip(sizes - word * _WORD, 0, _WORD)
+        used = np.where(
+            inside >= _WORD,
+            np.iinfo(np.uint64).max,
+            (np.uint64(1) << np.minimum(inside, _WORD - 1).astype(np.uint64)) - np.uint64(1),
+        )
+        found += np.bitwise_count(~state[word] & used)
+    return found
 
 
 def _wide_lcs(pattern: str, other: str) -> int:
@@ -88,17 +105,20 @@ def lcs_lengths(left: pa.Array, right: pa.Array) -> np.ndarray:
         for side in (left, right)
     )
     short, long_ = np.minimum(left_sizes, right_sizes), np.maximum(left_sizes, right_sizes)
-    # Texts are grouped by length class so that padding stays below a factor of two.
-    classes = np.where(short > _WORD, -1, np.ceil(np.log2(np.maximum(long_, 8))).astype(int))
+    # Texts are grouped by length class, patterns by a power of two of words, so that padding stays below
+    # a factor of two.
+    classes = np.ceil(np.log2(np.maximum(long_, 8))).astype(int)
+    words = np.ceil(np.log2(np.maximum(-(-short // _WORD), 1))).astype(int)
+    words[short > _MOST_WORDS * _WORD] = -1
     # The kernel takes the shorter text as its pattern, so each order is a group of its own.
     for swapped, (pattern, other) in enumerate(((left, right), (right, left))):
-        ordered = (left_sizes > right_sizes) == bool(swapped)
-        for length_class in np.unique(classes[ordered & (short > 0)]):
-            rows = np.flatnonzero(ordered & (short > 0) & (classes == length_class))
-            if length_class == -1:
+        ordered = ((left_sizes > right_sizes) == bool(swapped)) & (short > 0)
+        for length_class, word_class in np.unique(np.stack((classes, words))[:, ordered], axis=1).T.tolist():
+            rows = np.flatnonzero(ordered & (classes == length_class) & (words == word_class))
+            if word_class == -1:
                 result[rows] = [_wide_lcs(pattern[row].as_py(), other[row].as_py()) for row in rows]
                 continue
-            step = max(_CELLS >> int(length_class), 1)
+            step = max(_CELLS >> length_class, 1)
             for start in range(0, len(rows), step):
                 part = rows[start : start + step]
                 taken = pa.array(part)

@@ -18,26 +18,16 @@ def indel_ratio(left: str, right: str, lcs: str) -> str:
     return f"CASE WHEN {total} = 0 THEN 1D ELSE (1D - {edits} / {total}) * 100D / 100D END"
 
 
-def token_parts(left_words: str, right_words: str) -> dict[str, str]:
-    """Two word sets taken apart: shared words, and each side's other words as sorted text."""
-
-    def rest(words: str, others: str) -> str:
-        return f"array_join(array_sort(array_except({words}, {others})), ' ')"
-
-    shared = f"array_intersect({left_words}, {right_words})"
-    return {
-        "shared": f"size({shared})",
-        "shared_size": f"length(array_join({shared}, ' '))",
-        "left_rest": rest(left_words, right_words),
-        "right_rest": rest(right_words, left_words),
-    }
+def other_words(words: str, shared: str) -> str:
+    """The words of a set that are not shared, as sorted text."""
+    return f"array_join(array_sort(array_except({words}, {shared})), ' ')"
 
 
 def token_set_ratio(left: str, right: str, parts: dict[str, str], rest_lcs: str) -> str:
     """Best of: the two remainders against each other, and the shared words against either side.
 
-    `parts` names the columns that hold `token_parts` and the lengths of both remainders.  Without
-    shared words the second kind comes out as 0, so it needs no case of its own.
+    `parts` has the number of shared words, their length as a text, and the lengths of both remainders.  Without shared words the second kind comes out as 0, so it needs no
+    case of its own.  A larger `rest_lcs` never gives less.
     """
 
     def percent(edits: str, total: str) -> str:

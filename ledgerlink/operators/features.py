@@ -55,13 +55,12 @@ def _words(text: str) -> str:
 
 
 def features(text: str, bound: bool = True) -> Column:
-    """Struct of a cleaned text, its words and, with `bound`, what the pair bounds need."""
+    """Struct of a cleaned text, its words, their number and size and, with `bound`, what the pair bounds need."""
     words = _words(text)
-    fields = {"text": text, "words": words, "count": f"size({words})"}
+    fields = {"text": text, "words": words, "count": f"size({words})", "words_size": f"length(array_join({words}, ' '))"}
     if bound:
         mask = f"aggregate({words}, 0L, (mask_, word_) -> mask_ | shiftleft(1L, pmod(hash(word_), 64)))"
         fields |= {
-            "words_size": f"length(array_join({words}, ' '))",
             "mask": mask,
             "spare": f"size({words}) - bit_count({mask})",
             "per_word": f"1D / greatest(size({words}), 1)",
@@ -76,6 +75,11 @@ def features(text: str, bound: bool = True) -> Column:
 # of the join, and the JVM leaves a method beyond 8,000 bytes of code uncompiled.
 
 
+def bag_overlap(a: str, b: str) -> str:
+    """Upper limit of the characters that two texts share as bags."""
+    return f"(bit_count({a}.bag0 & {b}.bag0) + bit_count({a}.bag1 & {b}.bag1) + least({a}.over, {b}.over))"
+
+
 def ratio_bound(a: str, b: str) -> str:
     """Upper limit of the blended ratio.
 
@@ -83,7 +87,7 @@ def ratio_bound(a: str, b: str) -> str:
     sizes), the plain ratio is at most 2n / w, and so is the token-set ratio if no word is shared;
     if one is, it is at most 1.  Two empty texts have ratio 0.5.
     """
-    n = f"(bit_count({a}.bag0 & {b}.bag0) + bit_count({a}.bag1 & {b}.bag1) + least({a}.over, {b}.over))"
+    n = bag_overlap(a, b)
     apart = f"({a}.mask & {b}.mask) = 0"
     size = f"greatest({a}.words_size + {b}.words_size, 1)"
     empty = f"{a}.words_size + {b}.words_size = 0"

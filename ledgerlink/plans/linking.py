@@ -123,7 +123,11 @@ def fuzzy_candidates(
     seekers = word_seekers(keys, artists, v2=v2)
     if weights.bounded and not seekers.isEmpty():
         pairs = pairs.unionByName(word_pairs(seekers, offered, weights, slice_rows))
-    scored = with_text_signals(pairs, {"title": ("key_title", "lib_title"), "album": ("key_album", "lib_album")})
+    artist = {"ratio_artist": "ratio_artist", "ngram_artist": "ngram_artist"}
+    scored = with_text_signals(
+        pairs, {"title": ("key_title", "lib_title"), "album": ("key_album", "lib_album")},
+        lambda bounds: weights.reachable(bounds | artist),
+    )
     return scored.select(*KEY, "rank", "hit", *SIGNALS, F.expr(weights.score()).alias("score"))
 
 
