@@ -172,13 +172,14 @@ def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:
     """entity, term, both: in how many rows (text) each of `entities` meets each term, prefixes as `abc*`.
 
     Only rows that may hold one of `entities` are taken apart.  Tasks send sums; entities that share a
-    place of the filter by chance come too.
+    place of the filter by chance come too.  A null entity stands for any: in how many of the rows taken
+    apart the term is.
     """
     shared = _filter(entities, "entity")
 
     def run(batches):
         known = functools.lru_cache(maxsize=200_000)(_marks(shared))
-        counts: Counter[tuple[str, str]] = Counter()
+        counts: Counter[tuple[str | None, str]] = Counter()
         for batch in slices(batches, "text"):
             for text in texts(batch):
                 spans = base_spans(text)
@@ -187,7 +188,7 @@ def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:
                     continue
                 terms = {t for t, _, _ in term_places(text, spans)}
                 terms |= {g for g in map(general, terms) if g}
-                for name in own:
+                for name in (None, *own):
                     counts.update(zip(repeat(name), terms))
                     if len(counts) > COUNTED:
                         yield _counted_pairs(counts)
@@ -198,7 +199,7 @@ def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:
     return sums.groupBy("entity", "term").agg(F.sum("both").alias("both"))
 
 
-def _counted_pairs(counts: Counter[tuple[str, str]]) -> pa.RecordBatch:
+def _counted_pairs(counts: Counter[tuple[str | None, str]]) -> pa.RecordBatch:
     columns = [pa.array([p[k] for p in counts], pa.string()) for k in range(2)]
     return pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], ["entity", "term", "both"])
 
@@ -243,19 +244,35 @@ def disclosing(found: DataFrame, rows: DataFrame, support: int = SUPPORT, thresh
     entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_docs"))
     # An entity of fewer documents than `support` meets no term that often; one of all documents says nothing.
     entities = stored(entities.filter((F.col("entity_docs") >= support) & (F.col("entity_docs") < total)), "pii-entities")
-    pairs = stored(pair_counts(rows, entities).filter(F.col("both") >= support), "pii-pairs")
-    terms = document_counts(rows, pairs.select("term"))
-    scored = pairs.join(terms, "term").join(entities, "entity").withColumn(
+    pairs = stored(pair_counts(rows, entities).filter((F.col("both") >= support) | F.col("entity").isNull()), "pii-pairs")
+    left = stored(_possible(pairs, entities, total, threshold), "pii-possible")
+    terms = document_counts(rows, left.select("term"))
+    scored = left.join(terms, "term").withColumn(
         "disclosure",
         F.log(total * F.col("both") / (F.col("entity_docs") * F.col("docs"))) / F.log(total / F.col("entity_docs")),
     )
     scored = stored(scored, "pii-scores")
-    over = scored.filter((F.col("disclosure") >= threshold) & ~F.endswith("term", F.lit("*")))
+    over = scored.filter(F.col("disclosure") >= threshold).filter("not endswith(term, '*')")
     prefixes = scored.select("entity", F.col("term").alias("prefix"), F.col("disclosure").alias("of_prefix"))
     judged = over.withColumn("prefix", _prefix(F.col("term"))).join(prefixes, ["entity", "prefix"], "left")
-    # A prefix met by fewer than `support` documents cannot be: it is met at least where the term is.
-    action = F.when(F.col("of_prefix") < threshold, "generalised").otherwise("removed")
-    return judged.select("entity", "term", "disclosure", action.alias("action"))
+    # A prefix is met at least where the term is; one that is not scored is too common to reach the threshold.
+    below = F.col("prefix").isNotNull() & (F.coalesce("of_prefix", F.lit(float("-inf"))) < threshold)
+    return judged.select("entity", "term", "disclosure", F.when(below, "generalised").otherwise("removed").alias("action"))
+
+
+def _possible(pairs: DataFrame, entities: DataFrame, total: int, threshold: float) -> DataFrame:
+    """The pairs (with entity_docs) that may reach the threshold, of prefixes only those of such terms.
+
+    A disclosure of t needs docs(term) <= both * (N / docs(entity)) ** (1 - t), and the rows with any
+    entity that hold the term are a lower limit of docs(term).  So common words go before they are
+    counted in all rows.
+    """
+    least = pairs.filter("entity is null").select("term", F.col("both").alias("least"))
+    most = F.col("both") * F.pow(total / F.col("entity_docs"), F.lit(1 - threshold)) * (1 + 1e-9)
+    met = pairs.join(entities, "entity").join(least, "term").filter(F.col("least") <= most).drop("least")
+    words = met.filter("not endswith(term, '*')")
+    wanted = words.select("entity", _prefix(F.col("term")).alias("term")).dropna().distinct()
+    return words.unionByName(met.filter("endswith(term, '*')").join(wanted, ["entity", "term"], "left_semi"))
 
 
 def _prefix(term):
