@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerlink.llm.common import arrow_map, slices, texts
+from ledgerlink.llm.common import arrow_map, at_task_end, slices, texts
 from ledgerlink.llm.words import Memory, SpecialTokens, byte_characters
 
 
@@ -40,6 +40,7 @@ class Codec:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self._merges[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
         self._words = Memory(self._encode_word)
+        at_task_end(self._words.forget)
 
     def _encode_word(self, word: str) -> bytes:
         if word in self._special.ids:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlink.sources.store import stored
 
 #: Bytes that one Arrow batch between Spark and Python holds, about; a single longer row is its own batch.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BATCH_DEFAULT = f"{64 << 20}b"
 
@@ -25,20 +25,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_map(frame: DataFrame, function, schema: str) -> DataFrame:
     """`mapInArrow` whose batches are bounded in bytes as well as in rows, so that long texts fit.
 
-    The worker gives back what a task has freed when the task ends, as workers stay for other tasks.
+    When a task ends, its worker empties its memories of words and gives back what is free, as workers
+    stay for other tasks and other operators.
     """
     conf = frame.sparkSession.conf
     if conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:  # a setting of the user's own stays
         conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
 
     def run(batches):
-        yield from function(batches)
-        _give_back()
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
 
     return frame.mapInArrow(run, schema)
 
 
+_FORGET: list = []
+
+
+def at_task_end(forget) -> None:
+    """Have `forget()` called in this worker at the end of each task; for memories that only save time."""
+    _FORGET.append(forget)
+
+
 def _give_back() -> None:
+    for forget in _FORGET:
+        forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -79,4 +92,4 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
-__all__ = ["arrow_map", "fresh", "partitions_for", "slices", "stored", "table", "texts"]
+__all__ = ["arrow_map", "at_task_end", "fresh", "partitions_for", "slices", "stored", "table", "texts"]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import arrow_map, fresh, partitions_for, slices, stored
+from ledgerlink.llm.common import arrow_map, at_task_end, fresh, partitions_for, slices, stored
 from ledgerlink.llm.components import components
 
 SHINGLE, SHARE = 5, 80
@@ -80,7 +80,9 @@ class _Hashes(dict):
 
 @functools.lru_cache(maxsize=1)
 def _hashes() -> _Hashes:
-    return _Hashes()
+    hashes = _Hashes()
+    at_task_end(hashes.clear)
+    return hashes
 
 
 def shingle_sets(texts: list[str | None], length: int = SHINGLE) -> list[np.ndarray]:
@@ -570,7 +572,7 @@ def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     """One document of each component, the one with the smallest id, with all columns; ties by hash of the text.
 
     A row is known by its id and the hash of its text, so rows with one id and texts that are not linked
-    all stay.  Rows without words are linked with nothing and stay; so do rows without an id.
+    all stay; of rows alike in both, the one with the least hash of all columns does.  Rows without words are linked with nothing and stay; so do rows without an id.
     """
     name, number = fresh(documents, "first_key"), fresh(documents, "number")
     named = _labelled(documents, key, text).filter("n > 0 and key is not null")
@@ -579,6 +581,7 @@ def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     value = documents[text].cast("string")
     own = documents.withColumns({name: documents[key].cast("bigint"), number: F.xxhash64(value)})
     linked = documents[key].isNotNull() & (F.translate(F.coalesce(value, F.lit("")), _SPACES, "") != "")
-    # Tasks reduce copies of one id and text to one row before the shuffle.
-    kept = own.filter(linked).dropDuplicates([name, number]).join(firsts, [name, number], "left_semi")
-    return kept.select(*documents.columns).unionByName(documents.filter(~linked))
+    # Tasks reduce copies of one id and text to one row before the shuffle, the least by a hash of all columns.
+    row = F.min_by(F.struct(*documents.columns), F.xxhash64(*documents.columns)).alias("row")
+    kept = own.filter(linked).groupBy(name, number).agg(row).join(firsts, [name, number], "left_semi")
+    return kept.select("row.*").unionByName(documents.filter(~linked))

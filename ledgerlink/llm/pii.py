@@ -36,7 +36,7 @@ from ledgerlink.llm.common import arrow_map, fresh, slices, stored, texts
 SUPPORT, THRESHOLD = 3, 0.8
 PREFIX, PREFIX_FROM = 3, 5
 #: Places of the fixed-size filters that say which words or entities of a text may be wanted.
-FILTER_PLACES = 1 << 20
+FILTER_PLACES = 1 << 23
 #: So many different things a task counts before it sends the counts.
 COUNTED = 100_000
 
@@ -164,8 +164,13 @@ def _filter(names: DataFrame, column: str):
 
 def _marks(shared):
     """Whether a filter may have a value."""
-    marks = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
-    return lambda value: bool(marks[zlib.crc32(value.encode()) % FILTER_PLACES])
+    marks = shared.value
+
+    def known(value: str) -> bool:
+        place = zlib.crc32(value.encode()) % FILTER_PLACES
+        return bool(marks[place >> 3] >> (7 - (place & 7)) & 1)
+
+    return known
 
 
 def pair_counts(rows: DataFrame, entities: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import arrow_map, slices, texts
+from ledgerlink.llm.common import arrow_map, at_task_end, slices, texts
 
 SAMPLE_ROWS = 12_000
 BITS = 18
@@ -40,6 +40,9 @@ def _place(name: str) -> int:
     return zlib.crc32(name.encode()) & ((1 << BITS) - 1)
 
 
+at_task_end(_place.cache_clear)
+
+
 def _share(part: int, whole: int, steps: int) -> int:
     return min(steps, int(steps * part / whole)) if whole else 0
 

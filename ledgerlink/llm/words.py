@@ -79,6 +79,10 @@ class Memory(dict):
             self[word] = made
         return made
 
+    def forget(self) -> None:
+        self.clear()
+        self._older = {}
+
 
 def byte_characters() -> dict[str, int]:
     """The printable stand-in that byte-level vocabularies write for each byte."""
