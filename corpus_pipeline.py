@@ -1,4 +1,9 @@
-"""A corpus pipeline over `documents`: grades, near duplicates, benchmark passages, personal data, token ids."""
+"""A corpus pipeline over `documents`: grades, near duplicates, benchmark passages, personal data, token ids.
+
+Null and empty texts are documents without words: they have no near copies, benchmark passages or personal
+data, and go through if the classifier lets them.  Rows without id take part; of repeated rows one stays.
+Columns of any names pass all stages but the last.  An empty table of documents gives no rows.
+"""
 
 from __future__ import annotations
 
