@@ -283,9 +283,10 @@ _DIFF = [
 
 _REPORTS = [
     *_DIFF,
-    ("report_changes", """select *, split_part(station, '-', 1) as report from changes
-       where substring(station, 1, 1) not in ('a', 'e', 'i', 'o', 'u')"""),
-    ("titles", "select distinct event_type as report, '*Updates:* ' || event_type as title from events"),
+    ("report_changes", "select *, split_part(station, '-', 1) as report from changes"),
+    ("types", "select distinct event_type from events"),
+    ("titles", """select report, '*Updates:* ' || report as title
+       from (select event_type as report from types union all select 'quiet ' || event_type from types)"""),
     ("report_text", """select report, row_number() over (partition by report order by section, station) as n, line from (
         select report, 0 as section, '' as station, title as line from titles
         union all select report, 1, station, line from report_changes
@@ -376,6 +377,10 @@ SQL: dict[str, str] = {
     # Sums of decimals that are never a tie, so decimal rounding is an independent check.
     "station_totals_large": f"""select station, sum(song_count::bigint)::bigint as songs,
       round(sum(total_hours::decimal(38, 9)), 2)::double as hours from ({w.STATIONS_LARGE}) group by station""",
+    # Whole numbers below 2^64, which the cast rounds once.
+    "station_totals_rough": f"""select station, sum(song_count::bigint)::bigint as songs,
+      sum(split_part(total_hours, 'e', 1)::decimal(38, 0) * (10::bigint ** split_part(total_hours, 'e', 2)::int)::bigint)::decimal(38, 0)::double as hours
+      from ({w.STATIONS_ROUGH}) group by station""",
     "station_totals_v2_mixed": f"""select station, sum(songs)::bigint as songs, round(sum(hours), 2)::double as hours from (
       select trim(station) as station, replace(song_count, ',', '')::bigint as songs,
         case when total_hours <> '' then {_rounded("try_cast(total_hours as double)", 2)}
@@ -391,6 +396,11 @@ SQL: dict[str, str] = {
         *_REPORTS,
         then="select report, 0::bigint as message_no, string_agg(line, chr(10) order by n) as message from report_text group by report",
     ),
+    "report_pieces": _with(
+        *_REPORTS,
+        then="""select report, (n - 1) // 1000 as piece, string_agg(line, chr(10) order by n) as text
+          from report_text group by report, piece""",
+    ),
     "id_changes": _with(
         *_ID_SIDES, then="select id, 'added' as change from added union all select id, 'removed' from removed"
     ),
@@ -402,6 +412,8 @@ SQL: dict[str, str] = {
     ),
     "search_links": _links(f"{_STRIPPED} from ({w.TRACKS_TO_SEARCH})"),
     "search_links_first_100": _links(f"{_STRIPPED} from ({w.TRACKS_TO_SEARCH}) order by pos limit 100"),
+    "search_links_first_half": _links(f"""select pos * 12 + copy as pos, trim(track) as track, trim(artist) as artist, trim(album) as album
+      from ({w.TRACKS_TO_SEARCH}), range(12) as copies(copy) order by 1 limit 6 * (select count(*) from part)"""),
     "search_links_v1": f"""select pos, coalesce(track, '') as track, coalesce(artist, '') as artist,
       '{SEARCH_PREFIX}' || coalesce(track, '') || '+' || coalesce(artist, '') as url from ({w.TRACKS_TO_SEARCH})""",
     "matched_from_files": _with(

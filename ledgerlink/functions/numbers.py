@@ -98,3 +98,67 @@ def fixed2(value: Column) -> Column:
         .when(value == float("-inf"), "-inf")
         .otherwise(F.format_string("%.2f", value))
     )
+
+
+# A finite double is cut into digits of 32 bits; digit `place` counts units of 2^(32 * place).
+_BASE = 1 << 32
+
+
+def exact_digits(column: str) -> Column:
+    """The non-zero digits (place, digit) of a double, signed; none for zero, infinities and NaN.
+
+    Digits of many values add up per place without rounding, so in any order.  The scaling is by
+    powers of two and therefore exact; a product of two powers reaches values of any exponent.
+    """
+    top = f"CAST(floor(log2(abs({column})) / 32) AS INT)"
+    scaled = f"(abs({column}) * pow(2D, -16 * {top}) * pow(2D, -16 * {top}))"
+    # 53 bits lie in three places; the fourth is for a logarithm that was rounded up to a whole number.
+    digit = f"floor(CASE WHEN j = 0 THEN {scaled} ELSE ({scaled} * pow(2D, 32 * j)) % {_BASE}D END)"
+    digits = (
+        f"transform(array(0, 1, 2, 3), j -> named_struct('place', {top} - j,"
+        f" 'digit', CAST(sign({column}) AS BIGINT) * {digit}))"
+    )
+    finite = f"{column} <> 0 AND abs({column}) < double('infinity')"
+    none = "CAST(array() AS ARRAY<STRUCT<place: INT, digit: BIGINT>>)"
+    return F.expr(f"CASE WHEN {finite} THEN filter({digits}, d -> d.digit <> 0) ELSE {none} END")
+
+
+def _carried(digits: str) -> str:
+    """Digits from the lowest place up, each brought into 0 to 2^32 - 1; beyond the last place is the sign."""
+    total = "CAST(s.carry + d AS DECIMAL(38,0))"
+    digit = f"CAST(pmod({total}, {_BASE}BD) AS DECIMAL(10,0))"
+    return (
+        f"aggregate({digits}, named_struct('carry', CAST(0 AS DECIMAL(38,0)), 'digits', CAST(array() AS ARRAY<DECIMAL(10,0)>)),"
+        f" (s, d) -> named_struct('carry', CAST(({total} - {digit}) div {_BASE}BD AS DECIMAL(38,0)),"
+        f" 'digits', concat(s.digits, array({digit}))), s -> s.digits)"
+    )
+
+
+def _let(name: str, value: str, then: str) -> str:
+    """`then`, in which `name` stands for `value`, computed once however often it is named."""
+    return f"element_at(transform(array({value}), {name} -> {then}), 1)"
+
+
+def total_of_digits(digits: str) -> str:
+    """The double nearest to the exact total of summed digits, as SQL.
+
+    `digits` is an array of (place, digit), each place once, digits as decimal(38,0).  A total beyond the
+    largest double is infinite; one below 2^-1022 may be off by its last bit.
+    """
+    zero = "CAST(0 AS DECIMAL(38,0))"
+    dense = f"transform(sequence(low, array_max(places) + 3), p -> coalesce(try_element_at(map_from_entries(ds), p), {zero}))"
+    # The three highest digits have 65 bits at least; one more bit says whether anything lies below them.
+    head = " + ".join(f"CAST(coalesce(get(size_, high - {k}), 0) AS DECIMAL(10,0)) * {1 << (97 - 32 * k)}BD" for k in (1, 2, 3))
+    rest = "CASE WHEN high > 3 AND exists(slice(size_, 1, high - 3), d -> d <> 0) THEN 1BD ELSE 0BD END"
+    half = "CAST(floor(power_ / 2) AS INT)"
+    value = f"CAST({head} + {rest} AS DOUBLE) * pow(2D, {half}) * pow(2D, power_ - {half})"
+    value = _let("power_", "32 * (low + high - 3) - 1", f"CASE WHEN below THEN -({value}) ELSE {value} END")
+    value = _let("high", "array_max(filter(sequence(1, size(size_)), i -> element_at(size_, i) <> 0))", f"CASE WHEN high IS NULL THEN 0D ELSE {value} END")
+    negated = _carried("transform(dense, d -> CAST(-d AS DECIMAL(38,0)))")
+    value = _let("size_", f"CASE WHEN below THEN {negated} ELSE plus END", value)
+    value = _let("below", "element_at(plus, -1) <> 0", value)
+    value = _let("plus", _carried("dense"), value)
+    value = _let("dense", dense, value)
+    value = _let("low", "array_min(places)", value)
+    value = _let("places", "transform(ds, d -> d.place)", value)
+    return _let("ds", digits, f"CASE WHEN size(ds) = 0 THEN 0D ELSE {value} END")

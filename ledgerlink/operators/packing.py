@@ -18,12 +18,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlink.operators.positions import numbered
 from ledgerlink.sources.store import checkpointed
 
 # The grouped functions below travel with the query; executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MESSAGE_LIMIT = 3500  # fixed value: characters per message
+PIECE_LINES = 1000
 
 _LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
@@ -47,21 +49,25 @@ class _Run:
         """Per possible first cut: its end position, the number of cuts, and the fill left over."""
         count = len(self.ends)
         possible = min(self.first_cut(0) + 1, count)
-        cuts, left = np.zeros(count + 1, np.int64), np.zeros(count + 1, np.int64)
-        total = int(self.ends[-1])
-        for line in range(count - 1, -1, -1):
-            following = self.cut[line]
-            cuts[line] = cuts[following] + 1
-            left[line] = left[following] if following < count else total - self.starts[line]
-        return self.ends[:possible].tolist(), cuts[:possible].tolist(), left[:possible].tolist()
+        # Pointer doubling: a line's message ends where `ahead` says; the last messages stay where they are.
+        ahead = np.where(self.cut < count, self.cut, np.arange(count))
+        steps = (self.cut < count).astype(np.int64)
+        while (steps[ahead] > 0).any():
+            steps, ahead = steps + steps[ahead], ahead[ahead]
+        last = ahead[:possible]
+        left = int(self.ends[-1]) - self.starts[last]
+        return self.ends[:possible].tolist(), (steps[:possible] + 1).tolist(), left.tolist()
 
     def message_numbers(self, fill: int, message: int) -> np.ndarray:
-        breaks = np.zeros(len(self.ends), np.int64)
-        line = self.first_cut(fill)
-        while line < len(breaks):
-            breaks[line] = 1
-            line = self.cut[line]
-        return message + np.cumsum(breaks)
+        count = len(self.ends)
+        breaks = np.zeros(count + 1, np.int64)
+        # All lines that open a message: the first cut, and from those known so far twice as many steps on.
+        opening, ahead = np.array([self.first_cut(fill)]), np.append(self.cut, count)
+        while opening[-1] < count:
+            opening = np.concatenate((opening, ahead[opening]))
+            ahead = ahead[ahead]
+        breaks[opening] = 1
+        return message + np.cumsum(breaks[:count])
 
 
 def _summaries(limit: int):
@@ -172,3 +178,16 @@ def pack_lines(lines: DataFrame, by: str, order: Sequence[str], limit: int | Non
     )
     messages = fragments.groupBy("report", "message_no").agg(F.array_join(_in_order("part", "text"), "").alias("message"))
     return messages.select(named, "message_no", "message")
+
+
+def whole_pieces(lines: DataFrame, by: str, order: Sequence[str], piece_lines: int = PIECE_LINES) -> DataFrame:
+    """(`by`, piece, text): each report as ordered pieces of `piece_lines` lines, for reports of any length.
+
+    A report's pieces in order, with a line end between them, are its message without limit.  Lines are
+    numbered by a running sum over range partitions, so no task holds more of a report than its range
+    and no group more than one piece.
+    """
+    rows = numbered(lines.select(by, *order, "line"), by, order)
+    piece = (F.col("n") - F.col("n") % piece_lines) / piece_lines
+    rows = rows.select(by, piece.cast("bigint").alias("piece"), "n", "line")
+    return rows.groupBy(by, "piece").agg(F.array_join(_in_order("n", "line"), "\n").alias("text"))

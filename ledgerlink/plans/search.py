@@ -8,13 +8,19 @@ from pyspark.sql import functions as F
 from ledgerlink.functions.text import strip_spaces
 from ledgerlink.functions.urls import search_url, search_url_v1
 from ledgerlink.operators.headers import LINK_ALBUM, LINK_ARTIST, LINK_TRACK, Sheet, require, resolve
+from ledgerlink.operators.positions import first_by
+
+#: Up to here each task keeps its own first rows and one task merges them; beyond, no task holds them all.
+TOP_ROWS = 10_000
 
 
 def first_rows(frame: DataFrame, limit: int | None, pos: str = "pos") -> DataFrame:
     """The first `limit` rows in file order; 0 or None keeps all."""
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
-    return frame.orderBy(pos).limit(limit) if limit else frame
+    if not limit:
+        return frame
+    return frame.orderBy(pos).limit(limit) if limit <= TOP_ROWS else first_by(frame, pos, limit)
 
 
 def complete(track: Column, artist: Column) -> Column:

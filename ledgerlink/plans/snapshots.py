@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.functions.numbers import (
+    exact_digits,
     fixed2,
     parse_number,
     parse_number_v2,
     plain_decimal,
     round_half_even,
     to_count,
+    total_of_digits,
 )
 from ledgerlink.functions.text import strip_spaces
 from ledgerlink.operators.headers import (
@@ -24,7 +26,7 @@ from ledgerlink.operators.headers import (
     require_station,
     resolve_station,
 )
-from ledgerlink.operators.packing import MESSAGE_LIMIT, pack_lines
+from ledgerlink.operators.packing import MESSAGE_LIMIT, pack_lines, whole_pieces
 from ledgerlink.sources.store import stored
 
 NO_CHANGES = "[info] no changes."
@@ -95,36 +97,58 @@ def snapshot_rows_v2(sheet: Sheet) -> DataFrame:
     )
 
 
-def _totals(when: Column | None = None) -> tuple[Column, Column]:
-    """(songs, hours) of a group, of the rows where `when` holds.
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """Per value of `keys` and side: songs, and the parts of the hours, each summed without rounding.
 
-    Decimals add up to the same total in any order and partitioning, which a sum of doubles does
-    not; hours are rounded after the sum.
+    Decimals add up to the same total in any order, which doubles do not.  So doubles are summed as
+    digits, by place; a row without doubles stays one row.  A place is summed per task, then over
+    tasks, and a group has some seventy places at most.
     """
+    parts = rows.withColumn("digits", exact_digits("rough")).select(
+        *keys, "songs", "exact", "unit",
+        F.when((F.abs("rough") == float("inf")) | F.isnan("rough"), F.col("rough")).alias("special"),
+        F.explode(F.concat(F.array(F.struct(F.lit(None).cast("int").alias("place"), F.lit(0).cast("bigint").alias("digit"))), "digits")).alias("part"),
+    )
+
+    def own(column: str) -> Column:
+        """The column, once a row."""
+        return F.when(F.col("part.place").isNull(), F.col(column))
+
+    return parts.groupBy(*keys, F.col("part.place").alias("place")).agg(
+        F.sum(own("songs")).alias("songs"), F.sum(own("exact")).alias("exact"), F.sum(own("special")).alias("special"),
+        F.max("unit").alias("unit"), F.sum(F.col("part.digit").cast("decimal(28,0)")).alias("digit"),
+    )
 
-    def total(column: str, zero: str) -> Column:
-        value = F.col(column) if when is None else F.when(when, F.col(column))
-        return F.coalesce(F.sum(value), F.lit(0).cast(zero))
 
-    amount = total("exact", "decimal(38,9)").cast("double") + total("rough", "double")
-    unit = F.max("unit" if when is None else F.when(when, F.col("unit")))
-    return total("songs", "bigint"), round_half_even(F.coalesce(amount / unit, F.lit(0.0)), 2)
+def _totals(when: str = "true") -> tuple[Column, Column]:
+    """(songs, hours) of a group of `_sums` rows, of those where `when` holds; hours are rounded after the sum."""
+
+    def of(column: str) -> Column:
+        return F.expr(f"CASE WHEN {when} THEN {column} END")
+
+    digit = "named_struct('place', place, 'digit', CAST(digit AS DECIMAL(38,0)))"
+    digits = F.expr(total_of_digits(f"collect_list(CASE WHEN {when} AND place IS NOT NULL THEN {digit} END)"))
+    amount = F.coalesce(F.sum(of("exact")).cast("double"), F.lit(0.0)) + digits + F.coalesce(F.sum(of("special")), F.lit(0.0))
+    amount = F.coalesce(amount / F.max(of("unit")), F.lit(0.0))
+    # Rounding names its input many times; the one-element array computes it once.
+    hours = F.element_at(F.transform(F.array(amount), lambda value: round_half_even(value, 2)), 1)
+    return F.coalesce(F.sum(of("songs")), F.lit(0).cast("bigint")), hours
 
 
 def station_totals(rows: DataFrame) -> DataFrame:
     songs, hours = _totals()
-    return rows.groupBy("station").agg(songs.alias("songs"), hours.alias("hours"))
+    return _sums(rows, "station").groupBy("station").agg(songs.alias("songs"), hours.alias("hours"))
 
 
 def compare_snapshots(before: DataFrame, after: DataFrame) -> DataFrame:
     """Stations whose songs or hours changed; a station absent from one side counts 0 there.
 
-    Both snapshots go through one grouping (one shuffle, pre-aggregated per task) rather than two
-    groupings and a full join.
+    Both snapshots go through one grouping (pre-aggregated per task) rather than two groupings and a
+    full join.
     """
     both = before.withColumn("new", F.lit(False)).unionByName(after.withColumn("new", F.lit(True)))
-    (b_songs, b_hours), (a_songs, a_hours) = _totals(~F.col("new")), _totals(F.col("new"))
-    totals = both.groupBy("station").agg(
+    (b_songs, b_hours), (a_songs, a_hours) = _totals("NOT new"), _totals("new")
+    totals = _sums(both, "station", "new").groupBy("station").agg(
         b_songs.alias("songs_before"), b_hours.alias("hours_before"),
         a_songs.alias("songs_after"), a_hours.alias("hours_after"),
     )
@@ -170,22 +194,31 @@ def report_lines(changes: DataFrame) -> DataFrame:
     return lines.unionByName(nothing).orderBy("station").select("line")
 
 
-def report_messages(
-    changes: DataFrame, titles: DataFrame, by: str = "report", limit: int | None = MESSAGE_LIMIT
-) -> DataFrame:
-    """Messages of at most `limit` characters per report, title first, lines in station order.
-
-    `changes` has a report column; `titles` one row (report, title) for every report that is sent,
-    changed or not.  `limit=None` gives one message per report.
-    """
+def _sections(changes: DataFrame, titles: DataFrame, by: str) -> DataFrame:
+    """The lines of all reports by section: the title, then changes by station or that there are none."""
     changes = stored(changes.select(by, "station", "line"), "report-changes")  # used twice, and sampled by the sort
     changed = changes.select(by).distinct().withColumn("changed", F.lit(True))
     titles = titles.withColumn("title_of", F.col(by)).drop(by)
     quiet = titles.join(changed, F.col("title_of").eqNullSafe(F.col(by)), "left").filter("changed is null")
     quiet, titles = (t.select(F.col("title_of").alias(by), "title") for t in (quiet, titles))
-    lines = (
+    return (
         titles.select(by, F.lit(0).alias("section"), F.lit("").alias("station"), F.col("title").alias("line"))
         .unionByName(changes.select(by, F.lit(1).alias("section"), "station", "line"))
         .unionByName(quiet.select(by, F.lit(1).alias("section"), F.lit("").alias("station"), F.lit(NO_CHANGES).alias("line")))
     )
-    return pack_lines(lines, by, ("section", "station"), limit)
+
+
+def report_messages(
+    changes: DataFrame, titles: DataFrame, by: str = "report", limit: int | None = MESSAGE_LIMIT
+) -> DataFrame:
+    """Messages of at most `limit` characters per report, title first, lines in station order.
+
+    `changes` has a report column; `titles` one row (report, title) for every report that is sent,
+    changed or not.  `limit=None` gives one message per report.
+    """
+    return pack_lines(_sections(changes, titles, by), by, ("section", "station"), limit)
+
+
+def report_pieces(changes: DataFrame, titles: DataFrame, by: str = "report") -> DataFrame:
+    """As `report_messages` without limit, each message as ordered pieces: report, piece, text."""
+    return whole_pieces(_sections(changes, titles, by), by, ("section", "station"))

@@ -82,6 +82,12 @@ select concat(event_type, '-', cast(user_id % 20 as varchar(20))) as station, '1
   concat(cast(cast(floor(abs(value) * 1000000000) as bigint) as varchar(30)), '.00', cast(event_id % 5 * 2 as varchar(2))) as total_hours
 from events"""
 
+# Hours as whole numbers in exponent form, which are parsed as doubles; the totals pass 2^53.
+STATIONS_ROUGH = """
+select concat(event_type, '-', cast(user_id % 20 as varchar(20))) as station, '1' as song_count,
+  concat(cast(cast(floor(abs(value) * 1000) as bigint) as varchar(30)), 'e', cast(event_id % 11 as varchar(2))) as total_hours
+from events"""
+
 # Blank and padded names; rows with hours, with seconds only, and with neither.
 STATIONS_MIXED = """
 select case when event_id % 13 = 0 then '   ' when event_id % 5 = 0 then concat('  ', event_type, ' ') else event_type end as station,
@@ -283,6 +289,10 @@ def station_totals_large(spark, sf_dir):
     return snapshots.station_totals(_station_rows(spark, sf_dir, STATIONS_LARGE))
 
 
+def station_totals_rough(spark, sf_dir):
+    return snapshots.station_totals(_station_rows(spark, sf_dir, STATIONS_ROUGH))
+
+
 def station_totals_v2(spark, sf_dir, sql=STATIONS_ALL):
     return snapshots.station_totals(snapshots.snapshot_rows_v2(Sheet.of(_stations(spark, sf_dir, sql))))
 
@@ -308,13 +318,20 @@ def station_report_unchanged(spark, sf_dir):
     return snapshots.report_lines(snapshots.compare_snapshots(rows, rows))
 
 
-def report_messages(spark, sf_dir, limit=snapshots.MESSAGE_LIMIT):
-    """One report per event type; those starting with a vowel are compared with themselves."""
+def _reports(spark, sf_dir):
+    """Changes and titles: a report of each event type, and one of each as a name that no change has."""
     changes = station_diff(spark, sf_dir).withColumn("report", F.split_part("station", F.lit("-"), F.lit(1)))
-    titles = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("report")).distinct()
-    titles = titles.select("report", F.concat(F.lit("*Updates:* "), "report").alias("title"))
-    changes = changes.filter(~F.substring("report", 1, 1).isin(*"aeiou"))
-    return snapshots.report_messages(changes, titles, limit=limit)
+    types = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("report")).distinct()
+    names = types.select(F.explode(F.array("report", F.concat(F.lit("quiet "), "report"))).alias("report"))
+    return changes, names.select("report", F.concat(F.lit("*Updates:* "), "report").alias("title"))
+
+
+def report_messages(spark, sf_dir, limit=snapshots.MESSAGE_LIMIT):
+    return snapshots.report_messages(*_reports(spark, sf_dir), limit=limit)
+
+
+def report_pieces(spark, sf_dir):
+    return snapshots.report_pieces(*_reports(spark, sf_dir))
 
 
 # --- ids and links ----------------------------------------------------------------------------------
@@ -338,6 +355,14 @@ def search_links(spark, sf_dir, limit=None):
     return search.search_links(sheet, limit, key)
 
 
+def search_links_first_half(spark, sf_dir):
+    """The first half of twelve copies of the table, more rows than one task takes."""
+    sheet, key = _to_search(spark, sf_dir)
+    copies = sheet.frame.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    frame = copies.withColumn(key, F.col(key) * 12 + F.col("copy")).drop("copy")
+    return search.search_links(Sheet(frame, sheet.headers), 6 * sheet.frame.count(), key)
+
+
 def search_links_v1(spark, sf_dir):
     sheet, key = _sheet(_view(spark, sf_dir, TRACKS_TO_SEARCH), "pos")
     return search.search_links_v1(sheet, key)
@@ -402,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "station_totals": station_totals,
     "station_totals_v2": station_totals_v2,
     "station_totals_large": station_totals_large,
+    "station_totals_rough": station_totals_rough,
     "station_totals_v2_mixed": lambda spark, sf_dir: station_totals_v2(spark, sf_dir, STATIONS_MIXED),
     "station_diff": station_diff,
     "station_diff_of_totals": station_diff_of_totals,
@@ -409,10 +435,12 @@ QUERIES: dict[str, Query] = {
     "station_report_unchanged": station_report_unchanged,
     "report_messages": report_messages,
     "report_messages_whole": lambda spark, sf_dir: report_messages(spark, sf_dir, limit=None),
+    "report_pieces": report_pieces,
     "id_changes": id_changes,
     "id_diff_stats": id_diff_stats,
     "search_links": search_links,
     "search_links_first_100": lambda spark, sf_dir: search_links(spark, sf_dir, limit=100),
+    "search_links_first_half": search_links_first_half,
     "search_links_v1": search_links_v1,
     "matched_from_files": lambda spark, sf_dir: links_from_files(spark, sf_dir, "matched"),
     "not_found_from_files": lambda spark, sf_dir: links_from_files(spark, sf_dir, "not_found"),

@@ -16,6 +16,8 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables not prese
 SOME = (
     "clean_text_tail", "fold_documents", "pair_signals", "artist_blocks_v2", "match_cascade", "match_v2", "match_hot_word",
     "station_totals_v2", "station_report_lines", "report_messages", "id_changes", "search_links",
+    "station_totals", "station_totals_large", "station_totals_rough", "station_totals_v2_mixed", "station_diff_of_totals",
+    "report_messages_whole", "report_pieces", "search_links_first_100", "search_links_first_half",
     "report_from_file", "search_links_from_files",
 )
 

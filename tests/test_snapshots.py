@@ -1,9 +1,13 @@
+import math
 import random
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlink.operators.headers import MissingColumnError, Sheet
-from ledgerlink.operators.packing import pack_lines
+from ledgerlink.functions.numbers import round_half_even
+from ledgerlink.operators.packing import pack_lines, whole_pieces
 from ledgerlink.plans.snapshots import (
     NO_CHANGES,
     compare_snapshots,
@@ -119,3 +123,54 @@ def test_many_lines_of_a_report_without_name(spark):
     frame = spark.createDataFrame([(None, i, f"line {i}") for i in range(3000)], "report string, i int, line string").repartition(5)
     messages = [r.message for r in pack_lines(frame, "report", ("i",), 50).orderBy("message_no").collect()]
     assert plain.well_packed([f"line {i}" for i in range(3000)], messages, 50)
+
+
+def test_sums_of_doubles_are_exact_in_any_order(spark):
+    rnd, rows, exact = random.Random(5), [], {}
+    for station in map(str, range(200)):
+        for _ in range(rnd.choice([1, 2, 5, 40])):
+            value = rnd.uniform(-1, 1) * 2.0 ** rnd.choice([rnd.randint(-60, 60), rnd.randint(-900, 900)])
+            values = [rnd.choice([value, value, 2.0**32, -(2.0**64), 1e16, 5e-324, 1.7e308, -1.7e308, 1e15, 0.1])]
+            values += [-values[0]] * (rnd.random() < 0.3)
+            rows += [(station, "1", repr(v) + ("" if "e" in repr(v) else "e0")) for v in values]
+            exact[station] = exact.get(station, Fraction(0)) + sum(map(Fraction, values))
+
+    def nearest(x):
+        try:
+            return float(x)
+        except OverflowError:
+            return math.inf if x > 0 else -math.inf
+
+    wanted = spark.createDataFrame([(k, nearest(v)) for k, v in exact.items()], "station string, hours double")
+    wanted = {r.station: r.hours for r in wanted.select("station", round_half_even(F.col("hours"), 2).alias("hours")).collect()}
+    for _ in range(2):
+        rnd.shuffle(rows)
+        assert {k: h for k, (_, h) in totals(snapshot_rows(sheet(spark, rows))).items()} == wanted
+
+
+@pytest.mark.parametrize("digits", [14, 15, 17, 18, 19, 21])
+def test_sums_beyond_the_digits_of_a_decimal(spark, digits):
+    rnd = random.Random(digits)
+    whole = [rnd.randint(10 ** (digits - 1), 10**digits) for _ in range(300)]
+    rows = [("a", "1", str(v)) for v in whole] + [("b", "1", f"-{v}") for v in whole] + [("c", "1", "inf"), ("c", "1", str(whole[0]))]
+    rows += [("d", "1", "inf"), ("d", "1", "-inf"), ("e", "1", "")]
+    total = float(sum(whole) if digits <= 18 else sum(map(Fraction, map(float, whole))))
+    got = totals(snapshot_rows(sheet(spark, rows)))
+    assert (got["a"][1], got["b"][1], got["c"][1], got["e"][1]) == (total, -total, math.inf, 0.0)
+    assert math.isnan(got["d"][1])
+    rnd.shuffle(rows)
+    assert repr(totals(snapshot_rows(sheet(spark, rows)))["a"]) == repr(got["a"])
+
+
+def test_pieces_of_whole_reports(spark):
+    sizes = {"long": 2503, "short": 3, None: 1200}
+    rows = [(report, i, f"{report} {i}") for report, n in sizes.items() for i in range(n)]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame(rows, "report string, i int, line string").repartition(6)
+    got = {}
+    for r in whole_pieces(frame, "report", ("i",), 100).orderBy("report", "piece").collect():
+        got.setdefault(r.report, []).append((r.piece, r.text))
+    for report, n in sizes.items():
+        assert [p for p, _ in got[report]] == list(range(-(-n // 100)))
+        assert "\n".join(t for _, t in got[report]) == "\n".join(f"{report} {i}" for i in range(n))
+    assert whole_pieces(frame.limit(0), "report", ("i",)).count() == 0
