@@ -19,7 +19,8 @@ EDITION_KEYWORDS = (
 _SPACE = r"[\s\x1c-\x1f]"
 # (?d): only \n ends a line, as in Python.  (?iuU): Unicode-aware case, digits and spaces.
 _EDITION_TAIL = rf"(?diuU){_SPACE}*[-:–—]{_SPACE}*(?:{EDITION_KEYWORDS}).*$"
-_BRACKETED = rf"(?d){_SPACE}*[(\[].*?[)\]]"
+# Possessive: a space is never a bracket, so giving spaces back cannot help.
+_BRACKETED = rf"(?d){_SPACE}*+[(\[].*?[)\]]"
 _FEATURING = r"(?di)feat\.? .*"
 _STRIP = rf"(?U)\A{_SPACE}+|{_SPACE}+\z"
 
@@ -111,18 +112,21 @@ def clean_text(column: str, trim_tail: bool = False) -> Column:
     text = f"coalesce(CAST({column} AS STRING), '')"
     if trim_tail:
         text = _replaced(text, _EDITION_TAIL)
-    text = _replaced(_replaced(_folded(text), _BRACKETED), _FEATURING)
+    # An ASCII text without brackets is its own fold and has no bracketed parts.
+    closer_look = f"contains({text}, '(') OR contains({text}, '[') OR {text} RLIKE {_literal(_NON_ASCII)}"
+    text = f"CASE WHEN {closer_look} THEN {_replaced(_folded(text), _BRACKETED)} ELSE {text} END"
+    text = _replaced(text, _FEATURING)
     return F.expr(f"lower(trim({_replaced(f'replace({text}, {_literal("&")}, {_literal("and")})', '[^a-zA-Z0-9 ]')}))")
 
 
 def token_set(cleaned: Column) -> Column:
     """Distinct words of a cleaned text."""
-    words = F.array_distinct(F.split(cleaned, " +"))
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(words)
+    # A single character splits without a regular expression; repeated spaces leave one empty word.
+    return F.array_remove(F.array_distinct(F.split(cleaned, " ")), "")
 
 
 def first_token(cleaned: Column) -> Column:
-    return F.split_part(cleaned, F.lit(" "), F.lit(1))
+    return F.substring_index(cleaned, " ", 1)
 
 
 def strip_spaces(text: Column) -> Column:
