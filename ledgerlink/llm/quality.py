@@ -6,7 +6,10 @@ and classes of a few statistics of the whole text.  It is fitted by full-batch A
 rated documents (`SAMPLE_ROWS`, the smallest hashes of their ids, the same at every size), in one task;
 features that fewer than `LEAST_DOCUMENTS` sampled documents have get no weight.
 
-Every row gets one row.  A null text counts as empty.  Ratings that are null are left out.  Without any
+Every row gets one row.  A null text counts as empty.  Ratings that are null are left out.  Of rows that
+share a rated key one text counts, that of the smallest hash, and an equal rating of it counts once.  The fit
+does not depend on the order of rows.  Columns other than the named ones take no part, whatever their
+names.  Without any
 rating, or with one grade only, there is nothing to tell grades apart: every document gets the
 smoothed frequencies of the grades and is kept.
 """
@@ -121,8 +124,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Model:
 
 def train(documents: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> Model:
     """The model of documents (key, text) and ratings (key, grade), from at most `sample_rows` rated ones."""
-    sample = ratings.dropna().orderBy(F.xxhash64("key"), "key").limit(sample_rows)
-    rated = documents.join(F.broadcast(sample), "key").select("grade", "text")
+    sample = ratings.dropna().orderBy(F.xxhash64("key"), "key", "grade").limit(sample_rows)
+    rated = documents.join(F.broadcast(sample), "key")
+    # However often a rated key is repeated, one of its texts counts, so the sample stays bounded.
+    rated = rated.groupBy("key", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("grade", "text")
 
     def featured(batches):
         for batch in slices(batches, "text"):
@@ -134,7 +139,9 @@ def train(documents: DataFrame, ratings: DataFrame, n_grades: int, sample_rows:
         for batch in batches:
             grades += batch.column("grade").to_pylist()
             rows += [np.asarray(x.values, np.int32) for x in batch.column("places")]
-        model = fit(rows, np.array(grades, np.int64), n_grades)
+        # Rows arrive in any order, and sums of doubles depend on it.
+        order = sorted(range(len(rows)), key=lambda k: (grades[k], rows[k].tobytes()))
+        model = fit([rows[k] for k in order], np.array([grades[k] for k in order], np.int64), n_grades)
         columns = [pa.array([model.weights.astype("<f4").tobytes()]), pa.array([model.thresholds.tolist()]), pa.array([model.trained])]
         yield pa.RecordBatch.from_arrays(columns, ["weights", "thresholds", "trained"])
 

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlink.llm import decontaminate, jaccard, pii, quality
 
@@ -316,6 +317,47 @@ def test_grades(spark):
     cases.same(kept.select("doc_id", "text"), [(r[0], r[1]) for r in cases.rows(extra) if any(j.keep for j in judged if j.doc_id == r[0])])
 
 
+def plain_loss(rows, grades, weights, cuts):
+    """Mean of minus the log likelihood, and the penalty, term by term."""
+    total = 0.0
+    for places, grade in zip(rows, grades, strict=True):
+        score = sum(weights[p] for p in places)
+        below = [0.0, *(1 / (1 + math.exp(score - c)) for c in cuts), 1.0]
+        total -= math.log(below[grade + 1] - below[grade])
+    return total / len(rows) + quality.PENALTY / 2 * sum(w * w for w in weights.values())
+
+
+def test_fit_is_at_the_least_loss():
+    chance = random.Random(4)
+    rows = [np.array(sorted({0, *chance.sample(range(1, 9), 3)}), np.int32) for _ in range(400)]
+    noisy = [sum(int(p) for p in r) + chance.gauss(0, 4) for r in rows]
+    grades = [0 if x < 11 else 1 if x < 15 else 2 for x in noisy]
+    model = quality.fit(rows, np.array(grades), 3)
+    weights, cuts = {p: float(model.weights[p]) for p in range(9)}, list(model.thresholds)
+    assert cuts == sorted(cuts) and not model.weights[9:].any()
+    least = plain_loss(rows, grades, weights, cuts)
+    for p in range(9):  # the slope of the plain loss is flat at the fitted weights and thresholds
+        up, down = ({**weights, p: weights[p] + e} for e in (1e-4, -1e-4))
+        assert abs(plain_loss(rows, grades, up, cuts) - plain_loss(rows, grades, down, cuts)) / 2e-4 < 5e-3
+    for k in range(2):
+        up, down = ([c + e * (i == k) for i, c in enumerate(cuts)] for e in (1e-4, -1e-4))
+        assert abs(plain_loss(rows, grades, weights, up) - plain_loss(rows, grades, weights, down)) / 2e-4 < 5e-3
+    assert least < plain_loss(rows, grades, dict.fromkeys(weights, 0.0), cuts)
+
+
+def test_grades_follow_from_the_weights(spark):
+    texts = [f"{t} {'good' * (k % 3 == 2)} {'bad' * (k % 3 == 0)}" for k, t in enumerate(cases.prose(6, 300, 60))]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "key bigint, text string")
+    ratings = spark.createDataFrame([(k, k % 3) for k in range(300)] + [(0, 0), (1, 2)], "key bigint, grade int")
+    hot = frame.unionByName(frame.filter("key = 0").withColumn("key", F.explode(F.array_repeat("key", 500))))
+    model, again = quality.train(frame, ratings, 3), quality.train(hot.repartition(5), ratings, 3)
+    assert (model.weights == again.weights).all() and (model.thresholds == again.thresholds).all()
+    for r in quality.grade(frame, ratings, 3, 2, key="key").collect():
+        score = sum(model.weights[p] for p in quality.features(texts[r.key]))
+        tail = [1 / (1 + math.exp(cut - score)) for cut in model.thresholds]
+        assert np.allclose(r.tail, tail) and math.isclose(r.expected_grade, sum(tail)) and r.keep == (tail[1] >= 0.5)
+
+
 @pytest.mark.parametrize("labels", [[], [(3, 1, 0), (4, 1, 0)]])
 def test_nothing_to_learn(spark, labels):
     table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
