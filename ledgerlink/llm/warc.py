@@ -9,7 +9,9 @@ decoded and checked against the digest.
 
 Every row gives one row.  A null payload counts as empty.  A null key is larger than any other; if all
 keys of equal payloads are null, all are responses.  Rows equal to the smallest in key and payload are
-all responses.  `problem` says what is wrong with a record, else it is null.
+all responses.  `problem` says what is wrong with a record, else it is null.  A revisit names its response's
+record by WARC-Refers-To unless several rows are alike in its key and payload; the key is named in any
+case.  An empty table gives no rows; columns other than the three named ones take no part.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,13 +64,37 @@ def record(fields: dict[str, object], block: bytes) -> bytes:
     return b"\r\n".join([*lines, b"Content-Length: %d" % len(block), b"", block])
 
 
-def page_records(key: int | None, url: str, payload: bytes, first: int | None, chunk_bytes: int, segment_bytes: int) -> Iterator[bytes]:
-    """The records of one row: a revisit of `first`, or a response in as many segments as it needs."""
+def info_record(date: str) -> tuple[str, bytes]:
+    """A new warcinfo record and its id."""
+    name = _new_id()
+    fields = {"WARC-Type": "warcinfo", "WARC-Record-ID": name, "WARC-Date": date, "Content-Type": "application/warc-fields"}
+    return name, record(fields, b"format: WARC File Format 1.1\r\n")
+
+
+def _new_id() -> str:
+    return f"<urn:uuid:{uuid.uuid4()}>"
+
+
+def _named_id(key: int, payload: bytes) -> str:
+    """The id of the response that revisits refer to, known from its key and payload."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{key} {digest(payload)}')}>"
+
+
+def page_records(
+    key: int | None, url: str, payload: bytes, first: int | None, chunk_bytes: int, segment_bytes: int,
+    date: str = "1970-01-01T00:00:00Z", info: str | None = None, named: int | None = None,
+) -> Iterator[bytes]:
+    """The records of one row: a revisit of `first`, or a response in as many segments as it needs.
+
+    `named` is the key of the one response with this payload that revisits can name by its record id.
+    """
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-    name = f"<urn:uuid:{uuid.uuid4()}>"
+    name = _named_id(key, payload) if first is None and key is not None and key == named else _new_id()
     fields = {
         "WARC-Type": "response" if first is None else "revisit",
         "WARC-Record-ID": name,
+        "WARC-Date": date,
+        "WARC-Warcinfo-ID": info,
         "WARC-Target-URI": " ".join(url.split()) or None,
         "Content-Type": "application/http; msgtype=response",
         "WARC-Payload-Digest": f"sha1:{digest(payload)}",
@@ -75,6 +102,7 @@ def page_records(key: int | None, url: str, payload: bytes, first: int | None, c
     }
     if first is not None:
         fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+        fields["WARC-Refers-To"] = None if named is None else _named_id(named, payload)
         fields["X-Refers-To-Page-ID"] = first
         yield record(fields, http + b"Content-Length: %d\r\n\r\n" % len(payload))
         return
@@ -85,7 +113,8 @@ def page_records(key: int | None, url: str, payload: bytes, first: int | None, c
         return
     for number, part in enumerate(parts, 1):
         own = dict(fields) if number == 1 else {
-            "WARC-Type": "continuation", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Segment-Origin-ID": name,
+            "WARC-Type": "continuation", "WARC-Record-ID": _new_id(), "WARC-Date": date, "WARC-Warcinfo-ID": info,
+            "WARC-Segment-Origin-ID": name,
         }
         own["WARC-Segment-Number"] = number
         if number == len(parts):
@@ -95,21 +124,37 @@ def page_records(key: int | None, url: str, payload: bytes, first: int | None, c
 
 def write(
     pages: DataFrame, folder: str, min_bytes: int = 0, key: str = "page_id", url: str = "url", payload: str = "html",
-    chunk_bytes: int = 4096, segment_bytes: int = 32768,
+    chunk_bytes: int = 4096, segment_bytes: int = 32768, date: str | None = None,
 ) -> None:
-    """Write the archive files.  Only the table of payloads that occur more than once is joined to the pages."""
+    """Write the archive files.  Only the table of payloads that occur more than once is joined to the pages.
+
+    Each task writes one warcinfo record, which its other records name.  `date` (default: now) is the date
+    of all records.
+    """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     text = F.coalesce(pages[payload].cast("string"), F.lit(""))
     rows = pages.select(pages[key].cast("bigint").alias("key"), F.coalesce(pages[url].cast("string"), F.lit("")).alias("url"), text.alias("text"))
     rows = rows.withColumn("sum", F.sha1("text"))
     long_enough = rows.filter(F.octet_length("text") >= min_bytes)
-    copies = long_enough.groupBy("sum").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Rows alike in key and payload are all responses, and then no single record can be named.
+    alike = long_enough.groupBy("sum", "key").agg(F.count("*").alias("n"))
+    smallest = F.min(F.when(F.col("key").isNotNull(), F.struct("key", F.col("n").alias("alike"))))
+    copies = alike.groupBy("sum").agg(smallest.alias("smallest"), F.sum("n").alias("n")).filter("n > 1")
+    named = F.when(F.col("smallest.alike") == 1, F.col("smallest.key")).alias("named")
+    copies = copies.select("sum", F.col("smallest.key").alias("first"), named)
     met = rows.join(stored(copies, "warc-copies"), "sum", "left").drop("sum")
     met = met.withColumn("first", F.when(F.col("key").isNull() | (F.col("key") > F.col("first")), F.col("first")))
 
     def run(batches):
+        info = None
         for batch in slices(batches, "text"):
-            rows = zip(batch.column("key").to_pylist(), texts(batch, "url"), texts(batch), batch.column("first").to_pylist(), strict=True)
-            made = [r for k, u, t, first in rows for r in page_records(k, u, t.encode(), first, chunk_bytes, segment_bytes)]
+            made = []
+            if info is None:
+                info, opening = info_record(date)
+                made.append(opening)
+            columns = (batch.column(c).to_pylist() for c in ("key", "first", "named"))
+            for k, first, named, u, t in zip(*columns, texts(batch, "url"), texts(batch), strict=True):
+                made += page_records(k, u, t.encode(), first, chunk_bytes, segment_bytes, date, info, named)
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
     # Spark's text writer puts a string's bytes out as they are, and ends each with the separator.
@@ -173,32 +218,41 @@ def _origin(fields: dict[str, str]) -> str | None:
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, problem of each record.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, problem of each record but warcinfo.
 
-    Whole records are restored where they are read; only segments are shuffled, by origin.
+    Files are read once: whole records are restored there, and only segments are stored and shuffled, by
+    origin.
     """
     files = spark.read.format("binaryFile").load(folder).select("content")
+    empty = _batch([])
 
-    def whole(batches):
-        for batch in batches:
-            for content in batch.column("content"):
-                yield _batch([restored([(f, b)]) for f, b in records(content.as_py()) if _origin(f) is None])
-
-    def segments(batches):
+    def parsed(batches):
+        kind = pa.map_(pa.string(), pa.string())
         for batch in batches:
             for content in batch.column("content"):
-                found = [(o, list(f.items()), b) for f, b in records(content.as_py()) if (o := _origin(f)) is not None]
-                kind = pa.map_(pa.string(), pa.string())
-                columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], kind), pa.array([x[2] for x in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["origin", "fields", "block"])
+                whole, found = [], []
+                for fields, block in records(content.as_py()):
+                    origin = _origin(fields)
+                    if origin is not None:
+                        found.append((origin, list(fields.items()), block))
+                    elif fields.get("warc-type") != "warcinfo":
+                        whole.append(restored([(fields, block)]))
+                pieces = [pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), kind, pa.binary()))]
+                rows = _batch(whole)
+                upper = [*rows.columns, *(pa.nulls(len(whole), p.type) for p in pieces)]
+                lower = [*(pa.nulls(len(found), c.type) for c in empty.columns), *pieces]
+                names = [*rows.schema.names, "origin", "fields", "block"]
+                yield pa.RecordBatch.from_arrays(upper, names)
+                yield pa.RecordBatch.from_arrays(lower, names)
 
     def together(batches):
         for batch in batches:
             yield _batch([restored([(dict(s["fields"]), s["block"]) for s in g]) for g in batch.column("segments").to_pylist()])
 
-    pieces = arrow_map(files, segments, "origin string, fields map<string,string>, block binary")
-    groups = pieces.groupBy("origin").agg(F.collect_list(F.struct("fields", "block")).alias("segments")).select("segments")
-    return arrow_map(files, whole, _RESULT).unionByName(arrow_map(groups, together, _RESULT))
+    found = stored(arrow_map(files, parsed, f"{_RESULT}, origin string, fields map<string,string>, block binary"), "warc-read")
+    segments = found.filter("origin is not null")
+    groups = segments.groupBy("origin").agg(F.collect_list(F.struct("fields", "block")).alias("segments")).select("segments")
+    return found.filter("origin is null").select(*empty.schema.names).unionByName(arrow_map(groups, together, _RESULT))
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:

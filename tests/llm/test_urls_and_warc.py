@@ -79,6 +79,26 @@ def test_warc(spark, least):
     cases.same(warc.round_trip(frame, min_bytes=least, chunk_bytes=100, segment_bytes=700), want)
 
 
+def test_warc_fields(spark, tmp_path):
+    found, frame = archive(spark)
+    warc.write(frame, str(tmp_path / "warc"), segment_bytes=700, date="2020-02-03T04:05:06Z")
+    every = [f for path in (tmp_path / "warc").glob("part-*") for f, _ in warc.records(path.read_bytes())]
+    names = [f["warc-record-id"] for f in every]
+    assert len(set(names)) == len(names) and {f["warc-date"] for f in every} == {"2020-02-03T04:05:06Z"}
+    infos = {f["warc-record-id"] for f in every if f["warc-type"] == "warcinfo"}
+    assert {f["warc-warcinfo-id"] for f in every if f["warc-type"] != "warcinfo"} == infos
+    responses = {f["warc-record-id"]: f for f in every if f["warc-type"] == "response"}
+    revisits = [f for f in every if f["warc-type"] == "revisit"]
+    assert revisits
+    for f in revisits:
+        first = f["x-refers-to-page-id"]
+        alike = [r for r in found if str(r[0]) == first]
+        assert ("warc-refers-to" in f) == (len(alike) == 1)
+        if "warc-refers-to" in f:
+            response = responses[f["warc-refers-to"]]
+            assert response["x-page-id"] == first and response["warc-payload-digest"] == f["warc-payload-digest"]
+
+
 def test_warc_faults():
     parts = [next(warc.records(r + b"\r\n\r\n")) for r in warc.page_records(7, "u", b"x" * 900, None, 100, 300)]
     assert warc.restored(parts[::-1])[1] == 900
