@@ -4,8 +4,9 @@ Documents are dealt out by ranges of doc_id, so that the files' order is the doc
 task encodes its documents in that order, appends an end id to each, and cuts shards of about
 `shard_tokens` ids, so memory is bounded by the shard and the longest document.  A shard file holds
 the distinct ids of the shard, the documents' ids and lengths, and the bit-planes of a wavelet matrix
-over positions in the sorted distinct ids, compressed.  Any file alone answers access, rank, select,
-counting and occurrences.
+over positions in the sorted distinct ids, in compressed blocks, with the ones before each block.  Any file
+alone answers access, rank, select, counting and occurrences from these samples and the blocks it touches;
+`token_frequencies` and `token_occurrences` ask all files.
 
 Order: ascending doc_id (null first), then the text's hash; equal rows are interchangeable and each
 gets its own place.  A null text counts as empty and is just the end id.  An empty table writes no file.
@@ -29,17 +30,73 @@ from ledgerlink.llm.words import byte_encoder
 from ledgerlink.sources.store import shared_folder
 
 _HEAD = struct.Struct("<4sQIIIIIII")
-_MARK = b"WVM1"
+_MARK = b"WVM2"
+_BLOCK = 1 << 13  # bytes of a plane that are compressed together, with the ones before them in the directory
+
+
+class _Planes:
+    """The bit-planes of a file: compressed blocks, unpacked when first needed, with sampled ranks."""
+
+    def __init__(self, levels: int, width: int, directory: np.ndarray, packed: bytes) -> None:
+        self._levels, self._width = levels, width
+        self._blocks = -(-width // _BLOCK)
+        sizes, self._before = directory[0].astype(np.int64), directory[1].reshape(levels, self._blocks)
+        self._starts = np.concatenate(([0], np.cumsum(sizes)))
+        self.directory, self.packed, self._open = directory, packed, {}
+
+    def block(self, level: int, number: int) -> np.ndarray:
+        at = level * self._blocks + number
+        if at not in self._open:
+            raw = self.packed[self._starts[at] : self._starts[at + 1]]
+            self._open[at] = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+        return self._open[at]
+
+    def ones(self, level: int, at: int) -> int:
+        """Ones before position `at` of the plane, from one sampled rank and one block."""
+        byte, rest = divmod(at, 8)
+        number = min(byte // _BLOCK, self._blocks - 1)
+        if number < 0:
+            return 0
+        inside, block = byte - number * _BLOCK, self.block(level, number)
+        found = int(self._before[level, number]) + int(np.bitwise_count(block[:inside]).sum(dtype=np.int64))
+        return found + (int(block[inside]) >> (8 - rest)).bit_count() if rest else found
+
+    def find(self, level: int, k: int, one: int) -> int:
+        """The position of the plane's bit number k, from 0, that is `one`."""
+        before = self._before[level].astype(np.int64)
+        counts = before if one else 8 * _BLOCK * np.arange(self._blocks) - before
+        number = int(np.searchsorted(counts, k, "right")) - 1
+        bits = np.unpackbits(self.block(level, number))
+        return 8 * _BLOCK * number + int(np.flatnonzero(bits == one)[k - int(counts[number])])
+
+    def whole(self) -> list[np.ndarray]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        starts = self._starts.tolist()
+        raw = [unpack(self.packed[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+        each = self._blocks
+        return [np.frombuffer(b"".join(raw[k * each : (k + 1) * each]), np.uint8) for k in range(self._levels)]
+
+    @staticmethod
+    def pack(planes: list[np.ndarray]) -> tuple[np.ndarray, bytes]:
+        """The directory (sizes; ones before each block) and the compressed blocks."""
+        pack, sizes, before, made = zstandard.ZstdCompressor(level=1).compress, [], [], []
+        for plane in planes:
+            ones = 0
+            for start in range(0, len(plane), _BLOCK):
+                block = plane[start : start + _BLOCK]
+                made.append(pack(block.tobytes()))
+                sizes.append(len(made[-1]))
+                before.append(ones)
+                ones += int(np.bitwise_count(block).sum(dtype=np.int64))
+        return np.array([sizes, before], "<u4").reshape(2, -1), b"".join(made)
 
 
 class WaveletMatrix:
     """A sequence of ids as bit-planes, most significant bit first, each plane stably sorted by the ones above."""
 
-    def __init__(self, symbols: np.ndarray, zeros: list[int], planes: list[np.ndarray], size: int) -> None:
+    def __init__(self, symbols: np.ndarray, zeros: list[int], planes: _Planes, size: int) -> None:
         self.symbols, self.zeros, self.size = symbols, zeros, size
-        self._packed = planes
-        self._bits: list[np.ndarray] | None = None
-        self._ranks: list[np.ndarray] | None = None
+        self._planes = planes
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -51,29 +108,14 @@ class WaveletMatrix:
             low = np.compress(~bits, codes)
             zeros.append(len(low))
             codes = np.concatenate((low, np.compress(bits, codes)))
-        return cls(symbols, zeros, planes, len(ids))
-
-    def bits(self) -> list[np.ndarray]:
-        if self._bits is None:
-            self._bits = [np.unpackbits(p, count=self.size).view(bool) for p in self._packed]
-        return self._bits
-
-    def _rank_tables(self) -> list[np.ndarray]:
-        """Ones before each byte of each plane; the rest of a rank is one popcount."""
-        if self._ranks is None:
-            self._ranks = [np.concatenate(([0], np.cumsum(np.bitwise_count(p), dtype=np.int64))) for p in self._packed]
-        return self._ranks
-
-    def _ones(self, level: int, at: int) -> int:
-        byte, rest = divmod(at, 8)
-        before = int(self._rank_tables()[level][byte])
-        return before + (int(self._packed[level][byte]) >> (8 - rest)).bit_count() if rest else before
+        directory, packed = _Planes.pack(planes)
+        return cls(symbols, zeros, _Planes(len(planes), -(-len(ids) // 8), directory, packed), len(ids))
 
     def access(self, at: int) -> int:
         code = 0
         for level, zeros in enumerate(self.zeros):
-            bit = int(self._packed[level][at >> 3]) >> (7 - (at & 7)) & 1
-            ones = self._ones(level, at)
+            ones = self._planes.ones(level, at)
+            bit = self._planes.ones(level, at + 1) - ones
             at = zeros + ones if bit else at - ones
             code = code << 1 | bit
         return int(self.symbols[code])
@@ -84,7 +126,7 @@ class WaveletMatrix:
 
     def _interval(self, code: int, start: int, end: int) -> tuple[int, int]:
         for level, zeros in enumerate(self.zeros):
-            a, b = self._ones(level, start), self._ones(level, end)
+            a, b = self._planes.ones(level, start), self._planes.ones(level, end)
             one = code >> (len(self.zeros) - 1 - level) & 1
             start, end = (zeros + a, zeros + b) if one else (start - a, end - b)
         return start, end
@@ -106,30 +148,18 @@ class WaveletMatrix:
         at = first + k
         for level in reversed(range(len(self.zeros))):
             one = code >> (len(self.zeros) - 1 - level) & 1
-            at = self._find(level, at - self.zeros[level] if one else at, one)
+            at = self._planes.find(level, at - self.zeros[level] if one else at, one)
         return at
 
-    def _find(self, level: int, k: int, one: int) -> int:
-        table = self._rank_tables()[level]
-        counts = table if one else 8 * np.arange(len(table)) - table
-        byte = int(np.searchsorted(counts, k, "right")) - 1
-        rest, value = k - int(counts[byte]), int(self._packed[level][byte])
-        for bit in range(8):
-            if (value >> (7 - bit) & 1) == one:
-                if not rest:
-                    return 8 * byte + bit
-                rest -= 1
-        raise IndexError(k)
-
     def occurrences(self, symbol: int) -> list[int]:
         return [self.select(symbol, k) for k in range(self.count(symbol))]
 
     def all(self) -> np.ndarray:
         """The whole sequence: the planes' stable sorts undone from the last to the first."""
         levels = len(self.zeros)
-        codes = np.zeros(self.size, _code_type(levels))
+        codes, planes = np.zeros(self.size, _code_type(levels)), self._planes.whole()
         for level in reversed(range(levels)):
-            bits, zeros = self.bits()[level], self.zeros[level]
+            bits, zeros = np.unpackbits(planes[level], count=self.size).view(bool), self.zeros[level]
             above = np.empty_like(codes)
             above[~bits] = codes[:zeros]
             above[bits] = codes[zeros:] | codes.dtype.type(1 << (levels - 1 - level))
@@ -159,7 +189,7 @@ def _dense(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def dump(matrix: WaveletMatrix, keys: list[int | None], lengths: list[int]) -> bytes:
-    """One shard file: a head, then the parts, each compressed."""
+    """One shard file: a head, then the parts, compressed; the planes in blocks that unpack one by one."""
     pack = zstandard.ZstdCompressor(level=1).compress
     missing = np.array([k is None for k in keys], bool)
     parts = [
@@ -167,7 +197,8 @@ def dump(matrix: WaveletMatrix, keys: list[int | None], lengths: list[int]) -> b
         pack(np.array(matrix.zeros, "<u8").tobytes()),
         pack(np.array([k or 0 for k in keys], "<i8").tobytes() + np.packbits(missing).tobytes()),
         pack(np.array(lengths, "<u4").tobytes()),
-        pack(b"".join(p.tobytes() for p in matrix._packed)),
+        pack(matrix._planes.directory.tobytes()),
+        matrix._planes.packed,
     ]
     body = b"".join(struct.pack("<Q", len(p)) + p for p in parts)
     head = _HEAD.pack(_MARK, matrix.size, len(matrix.zeros), len(matrix.symbols), len(keys), zlib.crc32(body), 0, 0, 0)
@@ -180,17 +211,16 @@ def load(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
     if mark != _MARK:
         raise ValueError("not a shard file")
     at, parts, unpack = _HEAD.size, [], zstandard.ZstdDecompressor().decompress
-    for _ in range(5):
+    for _ in range(6):
         (length,) = struct.unpack_from("<Q", data, at)
         parts.append(data[at + 8 : at + 8 + length])
         at += 8 + length
     if zlib.crc32(data[_HEAD.size : at]) != check:
         raise ValueError("damaged shard file")
-    symbols, zeros, named, lengths, bits = map(unpack, parts)
+    symbols, zeros, named, lengths, directory = map(unpack, parts[:5])
     missing = np.unpackbits(np.frombuffer(named[8 * documents :], np.uint8), count=documents).astype(bool)
     keys = [None if m else k for k, m in zip(np.frombuffer(named[: 8 * documents], "<i8").tolist(), missing, strict=True)]
-    width = (size + 7) // 8
-    planes = [np.frombuffer(bits, np.uint8)[k * width : (k + 1) * width] for k in range(levels)]
+    planes = _Planes(levels, -(-size // 8), np.frombuffer(directory, "<u4").reshape(2, -1), parts[5])
     matrix = WaveletMatrix(np.frombuffer(symbols, "<u4"), np.frombuffer(zeros, "<u8").tolist(), planes, size)
     return matrix, keys, np.frombuffer(lengths, "<u4")
 
@@ -276,6 +306,45 @@ def read_documents(spark: SparkSession, folder: str, token_ids: bool = False, ke
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
+def token_occurrences(spark: SparkSession, folder: str, token_ids: list[int], key: str = "doc_id") -> DataFrame:
+    """token_id, key, place (from 0 in the document) of each occurrence of the given ids in the shard files.
+
+    Answered by select on each file, which unpacks only the blocks that the occurrences touch.  Repeated ids
+    count once; documents alike in key each give their own rows.
+    """
+    wanted = sorted(set(token_ids))
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column("content"):
+                matrix, keys, lengths = load(content.as_py())
+                ends = np.cumsum(lengths, dtype=np.int64)
+                for token in wanted:
+                    at = np.array(matrix.occurrences(token), np.int64)
+                    owner = np.searchsorted(ends, at, "right")
+                    place = at - (ends - lengths)[owner]
+                    own = pa.array([keys[k] for k in owner.tolist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array([token] * len(at), pa.int64()), own, pa.array(place)], ["token_id", "key", "place"])
+
+    return arrow_map(_files(spark, folder), run, "token_id bigint, key bigint, place bigint").withColumnRenamed("key", key)
+
+
+def token_frequencies(spark: SparkSession, folder: str, token_ids: list[int]) -> DataFrame:
+    """token_id, n: how often each of the given ids stands in the shard files, by rank on each file, added up."""
+    wanted = sorted(set(token_ids))
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column("content"):
+                matrix, _, _ = load(content.as_py())
+                counts = [matrix.count(token) for token in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(counts, pa.int64())], ["token_id", "n"])
+
+    found = arrow_map(_files(spark, folder), run, "token_id bigint, n bigint").groupBy("token_id").agg(F.sum("n").alias("n"))
+    every = spark.createDataFrame([(t,) for t in wanted], "token_id bigint")
+    return every.join(found, "token_id", "left").fillna(0, "n")
+
+
 def round_trip(documents: DataFrame, path: str, end_id: int = 0, **names) -> DataFrame:
     """Write the documents below the session's shared folder and read them back."""
     spark = documents.sparkSession

@@ -125,6 +125,35 @@ def test_wavelet_queries():
             matrix.select(symbols + 1, 0)
 
 
+def test_wavelet_blocks():
+    chance = np.random.default_rng(7)
+    values = chance.integers(0, 5, 3 * 8 * wavelet._BLOCK + 77).astype("<u4")
+    matrix, *_ = wavelet.load(wavelet.dump(wavelet.WaveletMatrix.build(values), [1], [len(values)]))
+    assert (matrix.all() == values).all()
+    edges = [0, 1, 7, 8, *(8 * wavelet._BLOCK * k + d for k in (1, 2, 3) for d in (-1, 0, 1)), len(values) - 1, len(values)]
+    for symbol in range(6):
+        own = np.flatnonzero(values == symbol)
+        assert [matrix.count(symbol, 0, e) for e in edges] == [int((own < e).sum()) for e in edges]
+        ranks = [0, 1, len(own) // 2, len(own) - 1] if len(own) else []
+        assert [matrix.select(symbol, k) for k in ranks] == [int(own[k]) for k in ranks]
+    assert [matrix.access(e) for e in edges[:-1]] == [int(values[e]) for e in edges[:-1]]
+
+
+def test_counts_and_occurrences_over_files(spark, library, tmp_path):
+    wavelet.write(cases.documents(spark), str(tmp_path / "shards"), PATH, shard_tokens=5000)
+    places = {}
+    for key, text, *_ in cases.rows():
+        for place, token in enumerate([*library.encode(text or "", add_special_tokens=False).ids, 0]):
+            places.setdefault(token, []).append((key, place))
+    chosen = sorted(places, key=lambda t: (len(places[t]), t))
+    chosen = [*chosen[:5], *chosen[-5:], 49_999_999, 0]
+    wanted = {t: len(places.get(t, [])) for t in chosen}
+    found = wavelet.token_frequencies(spark, str(tmp_path / "shards"), [*chosen, chosen[0]])
+    assert {r.token_id: r.n for r in found.collect()} == wanted and found.count() == len(wanted)
+    got = wavelet.token_occurrences(spark, str(tmp_path / "shards"), chosen)
+    cases.same(got, [(t, *p) for t in set(chosen) for p in places.get(t, [])])
+
+
 def test_damaged_shard():
     data = bytearray(wavelet.dump(wavelet.WaveletMatrix.build(np.arange(9, dtype="<u4")), [1], [9]))
     data[-1] ^= 1
