@@ -425,4 +425,6 @@ SQL: dict[str, str] = {
     "report_from_file": _with(*_DIFF, then="select line from changes"),
     "search_links_from_files": f"""select pos::varchar as pos, track, artist, coalesce(album, '') as album, url
       from ({_links(f"{_STRIPPED} from ({w.TRACKS_TO_SEARCH})")})""",
+    "documents_by_split": """select doc_id, coalesce(lang, '') as lang, md5(coalesce(text, '')) as text_md5,
+      row_number() over (partition by coalesce(lang, '') order by doc_id) - 1 as place from documents""",
 }

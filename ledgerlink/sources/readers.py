@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlink.operators.headers import Sheet
+from ledgerlink.sources.quoted import scan_rows
 
 # Cell texts that count as missing for the search-link tool.
 MISSING_TEXTS = (
@@ -15,8 +16,17 @@ MISSING_TEXTS = (
 )
 
 
+_FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 def _csv(spark: SparkSession, multi_line: bool):
-    return spark.read.options(multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
+    return spark.read.options(multiLine=multi_line, **_FORMAT)
+
+
+def _has_large_file(spark: SparkSession, path: str) -> bool:
+    """Whether any file is larger than a split; sizes are listed, nothing is read."""
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return not spark.read.format("binaryFile").load(path).filter(F.col("length") > split).isEmpty()
 
 
 def _unique(headers: list[str]) -> list[str]:
@@ -30,12 +40,13 @@ def _unique(headers: list[str]) -> list[str]:
     return result
 
 
-def scan_csv(spark: SparkSession, path: str, *, multi_line: bool = True) -> Sheet:
+def scan_csv(spark: SparkSession, path: str, *, multi_line: bool = True, by_split: bool | None = None) -> Sheet:
     """Header row plus text cells; empty cells and the missing tail of short rows are ''.
 
     Only the header record is read up front: with the schema known, the scan needs no inference
-    pass.  Quoted line breaks require `multi_line`, which reads each file as one split; pass
-    False for large files known to have none, so that Spark can split them.
+    pass.  Quoted line breaks require `multi_line`.  Spark's own reader then takes each file as one
+    split; with `by_split` (by default where a file is larger than a split) the same rows are found
+    by many tasks a file, which read it twice.  Without `multi_line` Spark splits at any line break.
 
     `pos` is the file order: path, split start, row within the split.
     """
@@ -43,12 +54,16 @@ def scan_csv(spark: SparkSession, path: str, *, multi_line: bool = True) -> Shee
     headers = _unique([cell or f"Unnamed: {i}" for i, cell in enumerate(first or ())])
     cells = [f"c{i}" for i in range(len(headers))]
     schema = StructType([StructField(c, StringType()) for c in cells])
-    rows = _csv(spark, multi_line).schema(schema).option("header", True).csv(path)
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    if cells and multi_line and (_has_large_file(spark, path) if by_split is None else by_split):
+        rows = scan_rows(spark, path, schema, _FORMAT)
+        position = F.col("pos")
+    else:
+        rows = _csv(spark, multi_line).schema(schema).option("header", True).csv(path)
+        position = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
     filled = [F.coalesce(c, F.lit("")).alias(c) for c in cells]
     return Sheet(rows.select(*filled, position.alias("pos")), tuple(headers))
 

@@ -15,6 +15,7 @@ from ledgerlink.operators.blocks import artist_directory, artist_pairs
 from ledgerlink.operators.catalog import curation_rows, library_rows
 from ledgerlink.operators.features import features
 from ledgerlink.operators.headers import Sheet
+from ledgerlink.operators.positions import numbered
 from ledgerlink.operators.scoring import SIGNALS, Weights, with_text_signals
 from ledgerlink.plans import ids, linking, search, snapshots
 from ledgerlink.sources.readers import missing_to_null, scan_csv
@@ -399,6 +400,16 @@ def search_links_from_files(spark, sf_dir):
     return _scanned(spark, path)
 
 
+def documents_by_split(spark, sf_dir):
+    """Texts with line breaks and quotes through CSV files that many tasks read; numbered in file order."""
+    path = _new_folder(spark, "documents")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    write_search_links(documents.select("doc_id", "lang", "text").orderBy("doc_id"), path)
+    cells = scan_csv(spark, path, by_split=True).frame
+    rows = cells.select(F.col("c0").cast("bigint").alias("doc_id"), F.col("c1").alias("lang"), F.md5("c2").alias("text_md5"), "pos")
+    return numbered(rows, "lang", ["pos"], "place").drop("pos")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -446,4 +457,5 @@ QUERIES: dict[str, Query] = {
     "not_found_from_files": lambda spark, sf_dir: links_from_files(spark, sf_dir, "not_found"),
     "report_from_file": report_from_file,
     "search_links_from_files": search_links_from_files,
+    "documents_by_split": documents_by_split,
 }

@@ -1,4 +1,5 @@
 import csv
+import random
 
 import pytest
 
@@ -89,3 +90,58 @@ def test_id_snapshots_from_files(spark, tmp_path):
     old = scan_csv(spark, written(tmp_path / "b.csv", "id,track\n123,x\n456,y\n789,z\n"))
     new = scan_csv(spark, written(tmp_path / "a.csv", "code,track\n123,x\n456,y\n999,z\n"))
     assert tuple(id_change_stats(record_ids(old), record_ids(new)).first()) == (3, 3, 1, 1, 0)
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    small = {"spark.sql.files.maxPartitionBytes": "16b", "spark.sql.files.openCostInBytes": "16b"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    yield
+    for name in small:
+        spark.conf.unset(name)
+
+
+def by_file(sheet):
+    """The rows of each file in file order."""
+    found = {}
+    for row in sheet.frame.orderBy("pos").collect():
+        found.setdefault(row.pos.file, []).append(tuple(row)[:-1])
+    return found
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_quoted_breaks_by_split(spark, tmp_path, tiny_splits, line_end):
+    chance = random.Random(len(line_end))
+    # Cells as a writer makes them, with breaks, and lines with stray quotes anywhere.
+    for number in range(40):
+        lines = ["x,y"]
+        for _ in range(chance.randrange(12)):
+            if number % 2:
+                cells = ["".join(chance.choices('ab ,"\n', k=chance.randrange(9))).replace("\n", line_end) for _ in range(2)]
+                lines.append(",".join('"' + c.replace('"', '""') + '"' for c in cells))
+            else:
+                lines.append("".join(chance.choices('aab ,"', k=chance.randrange(1, 9))))
+        # Where the last quote is never closed, a line end after it would be part of the cell.
+        text = line_end.join(lines) + (line_end if number % 2 else "")
+        (tmp_path / f"{number:02}.csv").write_bytes(text.encode())
+    whole = by_file(scan_csv(spark, str(tmp_path), by_split=False))
+    parted = scan_csv(spark, str(tmp_path), by_split=True)
+    assert parted.headers == ("x", "y")
+    found = by_file(parted)
+    assert found.keys() == whole.keys()
+    wrong = [(f, whole[f], found[f]) for f in whole if whole[f] != found[f]]
+    assert not wrong, (len(wrong), wrong[:2])
+
+
+def test_large_files_with_quoted_breaks_have_many_tasks(spark, tmp_path):
+    rows = [(f"{i:05}", "line\nbreak" * (i % 3), 'a "b"' if i % 7 else "") for i in range(5000)]
+    with (tmp_path / "a.csv").open("w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([("id", "x", "y"), *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        sheet = scan_csv(spark, str(tmp_path / "a.csv"))
+        assert len({r.start for r in sheet.frame.select("pos.start").distinct().collect()}) > 4
+        assert [tuple(r)[:-1] for r in sheet.frame.orderBy("pos").collect()] == rows
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

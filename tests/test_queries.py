@@ -18,7 +18,7 @@ SOME = (
     "station_totals_v2", "station_report_lines", "report_messages", "id_changes", "search_links",
     "station_totals", "station_totals_large", "station_totals_rough", "station_totals_v2_mixed", "station_diff_of_totals",
     "report_messages_whole", "report_pieces", "search_links_first_100", "search_links_first_half",
-    "report_from_file", "search_links_from_files",
+    "report_from_file", "search_links_from_files", "documents_by_split",
 )
 
 
