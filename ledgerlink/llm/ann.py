@@ -3,13 +3,16 @@
 On a bounded sample a neighbour graph is built and cut into parts of nearly equal size with few edges
 between them: halves along principal directions, then moves to the part of most neighbours while room
 is left.  A small classifier learns each vector's part from the parts of its neighbours.  Every row is
-indexed under its most probable part.  A query goes to its most probable parts, as many as brought
-`RECALL` on the sample, and all rows there are ranked by their exact inner product.
-
-Parts and queries meet in cells of bounded size, so no part, however large, lands in one task.  Equal
-vectors of a cell are ranked once.  Vectors that are null, zero, or hold null or non-finite components
-take no part, nor do those of another length than most.  Rows without an id take no part.  Repeated
-rows are candidates each.
+indexed under its most probable part.  A query goes to its most probable parts, and all rows there are
+ranked by their exact inner product.  Every fourth row of the sample is held out of all fitting; a query
+searches as many parts as bring `RECALL` among these.  The number of parts follows that of the rows, up
+to one for 48 fitted rows of the sample.  The fit runs on the driver, on at most `sample_rows` vectors.
+
+Parts and queries meet in cells of bounded size, so no part, however large, lands in one task; a vector
+is copied once for each block of queries that search its part.  Equal vectors of a cell are ranked once.
+Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another
+length than most (of equally frequent lengths the smallest counts).  Rows without an id take no part.
+Repeated rows are candidates each.  An empty table gives no rows.  Other columns, of any names, are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import stored
 
-SAMPLE_ROWS, PARTS, GRAPH_NEIGHBOURS = 8192, 16, 10
+SAMPLE_ROWS, GRAPH_NEIGHBOURS = 8192, 10
+HELD_OUT = 4  # every so many rows of the sample, one
+PART_ROWS, LEAST_PARTS, PART_SAMPLE = 1024, 16, 48
 RECALL = 0.97
 CELL_ROWS, CELL_QUERIES = 4096, 2048
 
@@ -51,7 +56,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def neighbour_graph(vectors: np.ndarray, k: int, step: int = 1024) -> np.ndarray:
     """Places of each row's k nearest other rows."""
-    k = min(k, len(vectors) - 1)
+    k = max(0, min(k, len(vectors) - 1))
     found = np.zeros((len(vectors), k), np.int64)
     for low in range(0, len(vectors) if k else 0, step):
         near = vectors[low : low + step] @ vectors.T
@@ -113,22 +118,27 @@ def learn(vectors: np.ndarray, graph: np.ndarray, part: np.ndarray, parts: int,
     return weights[0], weights[1]
 
 
-def fit(vectors: np.ndarray, parts: int, k: int, recall: float = RECALL) -> Router:
-    """The router of a sample; `probes` is the least number of parts that reaches the recall on the sample."""
-    parts = 1 << max(0, min(parts, len(vectors) // 64).bit_length() - 1)
-    graph = neighbour_graph(vectors, GRAPH_NEIGHBOURS)
-    part = balanced_parts(vectors, graph, parts)
-    router = Router(*learn(vectors, graph, part, parts), parts)
-    indexed = router.probabilities(vectors).argmax(axis=1)
-    asked = np.arange(0, len(vectors), max(1, len(vectors) // 512))
-    near = vectors[asked] @ vectors.T
-    near[np.arange(len(asked)), asked] = -np.inf
-    k = min(k, len(vectors) - 1)
-    if not k:
+def parts_for(rows: int, fitted: int) -> int:
+    """A power of two: parts of about `PART_ROWS` rows, as far as the fitted rows can tell them apart."""
+    wanted = max(LEAST_PARTS, rows // PART_ROWS)
+    return 1 << max(0, min(wanted, fitted // PART_SAMPLE).bit_length() - 1)
+
+
+def fit(vectors: np.ndarray, rows: int, k: int, recall: float = RECALL) -> Router:
+    """The router of a sample of a table of so many rows; `probes` is the least number of parts that reaches
+    the recall for held-out rows among held-out rows, by as many neighbours as match k in the table."""
+    held = vectors[HELD_OUT - 1 :: HELD_OUT]
+    fitted = np.delete(vectors, np.s_[HELD_OUT - 1 :: HELD_OUT], axis=0)
+    parts = parts_for(rows, len(fitted))
+    graph = neighbour_graph(fitted, GRAPH_NEIGHBOURS)
+    part = balanced_parts(fitted, graph, parts)
+    router = Router(*learn(fitted, graph, part, parts), parts)
+    best = neighbour_graph(held, max(1, -(-k * len(held) // max(1, rows))))
+    if not best.size:
         return router
-    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    place = np.argsort(router.ranked(vectors[asked]), axis=1)  # of each part in each query's order
-    needed = np.take_along_axis(place, indexed[best], axis=1)
+    ranked = router.ranked(held)
+    place = np.argsort(ranked, axis=1)  # of each part in each query's order
+    needed = np.take_along_axis(place, ranked[best, 0], axis=1)
     found = [(needed < probes).mean() for probes in range(1, parts + 1)]
     return router._replace(probes=1 + int(np.argmax(np.array(found) >= recall)))
 
@@ -150,20 +160,21 @@ def rank_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame
     keep = min(k + 1, len(distinct))
     floor = -np.partition(-near, keep - 1, axis=1)[:, keep - 1]
     slack = 1e-9 * (1.0 + np.abs(near).max(axis=1))
-    made = []
-    for number, (query, row) in enumerate(zip(queries["query_id"].to_numpy(), queries["query_row"].to_numpy(), strict=True)):
-        chosen = np.flatnonzero(near[number] >= floor[number] - slack[number])
-        exact = (distinct[chosen] * asked[number]).sum(axis=1)
-        found, score = [], []
-        for place, value in zip(chosen, exact, strict=True):
-            own = ids[order[starts[place] : starts[place + 1]]]
-            own = own[own != query][:k]
-            found.append(own)
-            score.append(np.full(len(own), value))
-        found, score = np.concatenate(found), np.concatenate(score)
-        best = np.lexsort((found, -score))[:k]
-        made.append(pd.DataFrame({"query_id": query, "query_row": row, "vec_id": found[best], "score": score[best]}))
-    return pd.concat(made, ignore_index=True)
+    query, place = np.nonzero(near >= (floor - slack)[:, None])
+    exact = (distinct[place] * asked[query]).sum(axis=1)
+    # The first k + 1 ids of each vector found, each beside the vector's score.
+    copies = np.minimum(np.diff(starts)[place], k + 1)
+    within = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+    query, score = np.repeat(query, copies), np.repeat(exact, copies)
+    found = ids[order[np.repeat(starts[place], copies) + within]]
+    other = found != queries["query_id"].to_numpy()[query]
+    query, score, found = query[other], score[other], found[other]
+    best = np.lexsort((found, -score, query))
+    query, score, found = query[best], score[best], found[best]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    query, score, found = query[rank < k], score[rank < k], found[rank < k]
+    return pd.DataFrame({"query_id": queries["query_id"].to_numpy()[query], "query_row": queries["query_row"].to_numpy()[query],
+                         "vec_id": found, "score": score})
 
 
 def usable(frame: DataFrame, key: str, vector: str) -> DataFrame:
@@ -178,7 +189,7 @@ def usable(frame: DataFrame, key: str, vector: str) -> DataFrame:
 
 def search(
     frame: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding",
-    parts: int = PARTS, sample_rows: int = SAMPLE_ROWS, recall: float = RECALL,
+    sample_rows: int = SAMPLE_ROWS, recall: float = RECALL,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each row for which `is_query(id column)` holds."""
     spark = frame.sparkSession
@@ -187,7 +198,7 @@ def search(
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
     if sample.empty:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    router = spark.sparkContext.broadcast(fit(np.stack(sample["vector"].to_numpy()), parts, k, recall))
+    router = spark.sparkContext.broadcast(fit(np.stack(sample["vector"].to_numpy()), rows.count(), k, recall))
 
     @F.pandas_udf("array<int>")
     def order_of_parts(vectors: pd.Series) -> pd.Series:
@@ -195,19 +206,27 @@ def search(
 
     routed = stored(rows.withColumn("order", order_of_parts("vector")), "vectors")
     sizes = {r[0]: r[1] for r in routed.groupBy(F.col("order")[0]).count().collect()}  # a row for each part
-    queries = routed.filter(is_query(F.col("vec_id")))
-    query_blocks = max(1, -(-queries.count() // CELL_QUERIES))
-    blocks = F.create_map(*(F.lit(x) for p, n in sizes.items() for x in (p, max(1, -(-n // CELL_ROWS)))))
-    candidates = routed.select(F.col("order")[0].alias("part"), "vec_id", "vector")
-    candidates = candidates.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), blocks[F.col("part")]).cast("int"))
-    candidates = candidates.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = queries.select(
+    queries = routed.filter(is_query(F.col("vec_id"))).select(
         F.col("vec_id").alias("query_id"), F.xxhash64("vector").alias("query_row"), "vector",
-        F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("query_block"),
         F.explode(F.slice("order", 1, router.value.probes)).alias("part"),
-    ).dropDuplicates(["query_id", "query_row", "part"])
-    # A part without rows has no cell.
-    asked = asked.withColumn("block", F.explode(F.when(F.col("part").isin(*sizes), F.sequence(F.lit(0), (blocks[F.col("part")] - 1).cast("int")))))
+    )
+    searches = {r[0]: r[1] for r in queries.groupBy("part").count().collect()}  # a row for each part
+
+    def blocks(counts: dict[int, int], size: int):
+        return F.create_map(*(F.lit(x) for p, n in counts.items() for x in (p, -(-n // size))))[F.col("part")].cast("int")
+
+    def dealt(frame: DataFrame, own: str, other: str, by: list[str]) -> DataFrame:
+        """Each row in one block of its own side, and with all blocks of the other; none without such."""
+        frame = frame.withColumn(own, F.pmod(F.xxhash64(*by), F.col(f"{own}s")).cast("int"))
+        return frame.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop(f"{own}s", f"{other}s")
+
+    if not searches:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    sized = {"blocks": blocks(sizes, CELL_ROWS), "query_blocks": blocks(searches, CELL_QUERIES)}
+    candidates = routed.select(F.col("order")[0].alias("part"), "vec_id", "vector").withColumns(sized)
+    candidates = dealt(candidates, "block", "query_block", ["vec_id", "vector"])
+    asked = queries.dropDuplicates(["query_id", "query_row", "part"]).withColumns(sized)
+    asked = dealt(asked, "query_block", "block", ["query_id"])
     cell = ["part", "block", "query_block"]
     met = asked.groupBy(*cell).cogroup(candidates.groupBy(*cell))
     near = met.applyInPandas(lambda q, r: rank_cell(q, r, k), "query_id bigint, query_row bigint, vec_id bigint, score double")

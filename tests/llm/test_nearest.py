@@ -66,3 +66,36 @@ def test_parts_are_balanced():
     vectors = np.random.default_rng(1).normal(size=(2000, 8))
     part = ann.balanced_parts(vectors, ann.neighbour_graph(vectors, 10), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1.1 * 2000 / 8)
+
+
+def clustered(rows, seed=7, clusters=400, width=32):
+    chance = np.random.default_rng(seed)
+    centres = chance.normal(size=(clusters, width))
+    made = centres[chance.integers(0, clusters, rows)] + 0.35 * chance.normal(size=(rows, width))
+    return made / np.linalg.norm(made, axis=1, keepdims=True)
+
+
+def test_recall_of_rows_that_the_router_never_saw(spark):
+    vectors = clustered(9000)
+    vectors[6000:] = vectors[np.random.default_rng(2).integers(0, 50, 3000)]  # a third are copies of few
+    ids = np.random.default_rng(3).permutation(9000)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id bigint, embedding array<double>")
+    found = ann.search(frame, lambda key: key % 20 == 0, sample_rows=1024).collect()
+    want = brute(ids, vectors)
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, []).append(r.score)
+    # By score, as copies tie beyond the twentieth place.
+    hits = [np.sum(np.array(got.get(q, [])) >= w[-1][1] - 1e-12) / 20 for q, w in want.items()]
+    assert np.mean(hits) >= 0.9
+
+
+def test_pairs_grow_less_than_the_square_of_the_rows():
+    pairs = []
+    for rows in (20_000, 200_000):
+        vectors = clustered(rows)
+        router = ann.fit(vectors[np.random.default_rng(1).permutation(rows)[:8192]], rows, 20)
+        ranked = router.ranked(vectors)
+        sizes = np.bincount(ranked[:, 0], minlength=router.output.shape[1])
+        pairs.append(sizes[ranked[::20, : router.probes]].sum())
+    assert pairs[1] < pairs[0] * 10**1.5, (pairs, np.log10(pairs[1] / pairs[0]))
