@@ -109,6 +109,8 @@ def _block_candidates(
     keys: DataFrame, offered: DataFrame, artists: DataFrame, weights: Weights, v2: bool, slice_rows: int
 ) -> DataFrame:
     """Pairs of keys (with `rank` and `floor`) and library rows from whole blocks, with exact signals."""
+    asked = keys.select("clean_artist", F.lit(True).alias("asked")).distinct()
+    artists = artists.join(asked, "clean_artist", "left").withColumn("n_keys", F.when(F.col("asked"), F.col("n_keys")))
     blocks = artist_pairs(artists, weights, v2=v2, slice_rows=slice_rows, near=True)
     pairs = title_pairs(keys, offered, artists, blocks, weights)
     seekers = word_seekers(keys.filter("rank = 1"), artists, v2=v2)
